@@ -78,34 +78,35 @@ def _ntile(rn: Column, n: Column, k: int) -> Column:
             .otherwise(r + F.floor((rn - big_rows - 1) / F.greatest(q, F.lit(1))) + 1).cast("bigint")
 
 
-def ordered_stats(df: DataFrame, order: OrderSpec, *, row_number: str | None = None,
-                  rank: str | None = None, dense_rank: str | None = None,
-                  percent_rank: str | None = None, ntiles: dict | None = None,
-                  running_sums: dict | None = None, totals: dict | None = None,
-                  row_count: str | None = None, expected_rows: int | None = None) -> DataFrame:
-    """Add global ordered statistics to ``df``.
+def ordered_stats(df: DataFrame, order: OrderSpec, *, partition_by: list | None = None,
+                  row_number: str | None = None, rank: str | None = None,
+                  dense_rank: str | None = None, percent_rank: str | None = None,
+                  ntiles: dict | None = None, running_sums: dict | None = None,
+                  totals: dict | None = None, row_count: str | None = None,
+                  expected_rows: int | None = None) -> DataFrame:
+    """Add ordered statistics to ``df``, globally or per ``partition_by`` group.
 
     ``ntiles``: {out_col: k}; ``running_sums``: {out_col: value_col} (ROWS
     UNBOUNDED PRECEDING .. CURRENT ROW over the full order); ``totals``:
-    {out_col: value_col} (SUM OVER ()); ``row_count``: COUNT(*) OVER ().
-    ``expected_rows`` (a known row count, e.g. of a dimension) chooses the
-    path; unknown means distributed.
+    {out_col: value_col} (SUM OVER the group); ``row_count``: COUNT(*) OVER
+    the group.  ``expected_rows`` (a known row count, e.g. of a dimension)
+    chooses the path; unknown means distributed.
     """
     ntiles, running_sums, totals = ntiles or {}, running_sums or {}, totals or {}
+    part = list(partition_by or [])
     spark = df.sparkSession
     limit = conf_int(spark, SINGLE_TASK_MAX_ROWS_KEY, SINGLE_TASK_MAX_ROWS)
+    args = (row_number, rank, dense_rank, percent_rank, ntiles, running_sums, totals, row_count)
     if expected_rows is not None and expected_rows <= limit:
-        return _single_task(df, order, row_number, rank, dense_rank, percent_rank,
-                            ntiles, running_sums, totals, row_count)
-    return _distributed(df, order, row_number, rank, dense_rank, percent_rank,
-                        ntiles, running_sums, totals, row_count, expected_rows)
+        return _single_task(df, order, part, *args)
+    return _distributed(df, order, part, *args, expected_rows=expected_rows)
 
 
-def _single_task(df, order, row_number, rank, dense_rank, percent_rank, ntiles,
+def _single_task(df, order, part, row_number, rank, dense_rank, percent_rank, ntiles,
                  running_sums, totals, row_count):
-    w_full = Window.orderBy(*order.full_exprs)
-    w_rank = Window.orderBy(*order.rank_exprs)
-    w_all = Window.partitionBy()
+    w_full = Window.partitionBy(*part).orderBy(*order.full_exprs)
+    w_rank = Window.partitionBy(*part).orderBy(*order.rank_exprs)
+    w_all = Window.partitionBy(*part)
     out = df
     if row_number:
         out = out.withColumn(row_number, F.row_number().over(w_full).cast("bigint"))
@@ -122,12 +123,19 @@ def _single_task(df, order, row_number, rank, dense_rank, percent_rank, ntiles,
     for name, col in totals.items():
         out = out.withColumn(name, F.sum(col).over(w_all))
     if row_count:
-        out = out.withColumn(row_count, F.count(F.lit(1)).over(w_all))
+        out = out.withColumn(row_count, F.count(F.lit(1)).over(w_all).cast("bigint"))
     return out
 
 
-def _distributed(df, order, row_number, rank, dense_rank, percent_rank, ntiles,
-                 running_sums, totals, row_count, expected_rows):
+def _and(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+def _distributed(df, order, part, row_number, rank, dense_rank, percent_rank, ntiles,
+                 running_sums, totals, row_count, expected_rows=None):
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     per_range = conf_int(spark, ROWS_PER_RANGE_KEY, ROWS_PER_RANGE)
@@ -136,15 +144,17 @@ def _distributed(df, order, row_number, rank, dense_rank, percent_rank, ntiles,
     else:
         n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base_cols = df.columns
+    part_sort = [F.col(c).asc_nulls_last() for c in part]
 
-    # 1. freeze a range partitioning on the full (unique) order
-    ranged = (df.repartitionByRange(n_ranges, *order.full_exprs)
+    # 1. freeze a range partitioning on (group, full unique order)
+    ranged = (df.repartitionByRange(n_ranges, *part_sort, *order.full_exprs)
                 .withColumn(_PID, F.spark_partition_id())
                 .checkpoint(eager=True))
 
-    # 2. local numbering within each range
-    w_full = Window.partitionBy(_PID).orderBy(*order.full_exprs)
-    w_rank = Window.partitionBy(_PID).orderBy(*order.rank_exprs)
+    # 2. local numbering within each (range, group)
+    grp = [_PID] + part
+    w_full = Window.partitionBy(*grp).orderBy(*order.full_exprs)
+    w_rank = Window.partitionBy(*grp).orderBy(*order.rank_exprs)
     need_rank = bool(rank or percent_rank)
     local = ranged.withColumn(_LRN, F.row_number().over(w_full))
     if need_rank:
@@ -157,56 +167,54 @@ def _distributed(df, order, row_number, rank, dense_rank, percent_rank, ntiles,
         local = local.withColumn(f"_os_run{i}", F.sum(col).over(
             w_full.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
-    # 3. one row of statistics per range (bounded by n_ranges)
+    # 3. one row of statistics per (range, group): at most ranges + groups - 1
     rk = F.struct(*[F.col(c) for c in order.rank_cols])
-    aggs = [F.count(F.lit(1)).alias("cnt"),
-            F.min_by(rk, F.col(_LRN)).alias("head"),
-            F.max_by(rk, F.col(_LRN)).alias("tail")]
+    aggs = [F.count(F.lit(1)).alias("_os_cnt"),
+            F.min_by(rk, F.col(_LRN)).alias("_os_head"),
+            F.max_by(rk, F.col(_LRN)).alias("_os_tail")]
     if dense_rank:
-        aggs.append(F.max(_LDR).alias("dcnt"))
+        aggs.append(F.max(_LDR).alias("_os_dcnt"))
     sum_cols = {}
-    for i, col in enumerate(set([c for _, c in run_cols.values()] + list(totals.values()))):
-        sum_cols[col] = f"psum{i}"
-        aggs.append(F.sum(col).alias(f"psum{i}"))
-    stats = local.groupBy(_PID).agg(*aggs)
-    w_prev = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    w_upto = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy()
-    same = F.coalesce(F.col("head").eqNullSafe(F.lag("tail").over(Window.orderBy(_PID))), F.lit(False))
-    stats = (stats.withColumn("same", same)
-                  .withColumn("off", F.coalesce(F.sum("cnt").over(w_prev), F.lit(0)))
-                  .withColumn("n_total", F.sum("cnt").over(w_all)))
+    for i, col in enumerate(sorted(set([c for _, c in run_cols.values()] + list(totals.values())))):
+        sum_cols[col] = f"_os_ps{i}"
+        aggs.append(F.sum(col).alias(f"_os_ps{i}"))
+    stats = local.groupBy(*grp).agg(*aggs)
+    sw = Window.partitionBy(*part).orderBy(_PID)
+    w_prev = sw.rowsBetween(Window.unboundedPreceding, -1)
+    w_upto = sw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_all = Window.partitionBy(*part)
+    same = F.coalesce(F.col("_os_head").eqNullSafe(F.lag("_os_tail").over(sw)), F.lit(False))
+    stats = (stats.withColumn("_os_same", same)
+                  .withColumn("_os_off", F.coalesce(F.sum("_os_cnt").over(w_prev), F.lit(0)))
+                  .withColumn("_os_n", F.sum("_os_cnt").over(w_all)))
     if dense_rank:
-        stats = stats.withColumn("doff", F.coalesce(F.sum("dcnt").over(w_prev), F.lit(0))
-                                 - F.sum(F.col("same").cast("int")).over(w_upto))
+        stats = stats.withColumn("_os_doff", F.coalesce(F.sum("_os_dcnt").over(w_prev), F.lit(0))
+                                 - F.sum(F.col("_os_same").cast("int")).over(w_upto))
     for col, ps in sum_cols.items():
         stats = (stats.withColumn(ps + "_off", F.coalesce(F.sum(ps).over(w_prev), F.lit(0)))
                       .withColumn(ps + "_tot", F.sum(ps).over(w_all)))
-    stats = stats.drop("tail", "cnt").cache()
-
-    # 4. offsets back onto the rows (broadcast: one row per range)
-    out = local.join(F.broadcast(stats.drop("head", "same")), on=_PID)
-    rn = (F.col(_LRN) + F.col("off")).cast("bigint")
-    n = F.col("n_total").cast("bigint")
+    stats = stats.drop("_os_tail", "_os_cnt").cache()
+
+    # 4. offsets back onto the rows; without groups the table has one row
+    #    per range, a bounded broadcast
+    offsets = stats.drop("_os_head", "_os_same")
+    out = local.join(F.broadcast(offsets) if not part else offsets, on=grp)
+    rn = (F.col(_LRN) + F.col("_os_off")).cast("bigint")
+    n = F.col("_os_n").cast("bigint")
     if need_rank:
-        cand = (F.col(_LRK) + F.col("off")).cast("bigint")
-        out = out.withColumn("_os_rank", cand)
-        straddle = stats.filter("same").select(
-            *[F.col("head")[c].alias(f"_os_h{i}") for i, c in enumerate(order.rank_cols)])
+        out = out.withColumn("_os_rank", (F.col(_LRK) + F.col("_os_off")).cast("bigint"))
+        keys = part + order.rank_cols
+        straddle = stats.filter("_os_same").select(
+            *[F.col(c).alias(f"_os_h{i}") for i, c in enumerate(part)],
+            *[F.col("_os_head")[c].alias(f"_os_h{len(part) + i}") for i, c in enumerate(order.rank_cols)])
         if straddle.limit(1).count() > 0:
-            cond = [F.col(c).eqNullSafe(F.col(f"_os_h{i}")) for i, c in enumerate(order.rank_cols)]
-            cond_all = cond[0]
-            for c in cond[1:]:
-                cond_all = cond_all & c
-            fix = (out.join(F.broadcast(straddle), cond_all, "left_semi")
-                      .groupBy(*order.rank_cols).agg(F.min("_os_rank").alias("_os_fix")))
-            fix_r = fix.select(*[F.col(c).alias(f"_os_f{i}") for i, c in enumerate(order.rank_cols)], "_os_fix")
-            cond2 = [F.col(c).eqNullSafe(F.col(f"_os_f{i}")) for i, c in enumerate(order.rank_cols)]
-            cond2_all = cond2[0]
-            for c in cond2[1:]:
-                cond2_all = cond2_all & c
-            # at most one straddling value per range boundary: broadcast is bounded
-            out = (out.join(F.broadcast(fix_r), cond2_all, "left")
+            # at most one straddling tie group per range boundary: bounded
+            cond = _and([F.col(c).eqNullSafe(F.col(f"_os_h{i}")) for i, c in enumerate(keys)])
+            fix = (out.join(F.broadcast(straddle), cond, "left_semi")
+                      .groupBy(*keys).agg(F.min("_os_rank").alias("_os_fix")))
+            fix = fix.select(*[F.col(c).alias(f"_os_f{i}") for i, c in enumerate(keys)], "_os_fix")
+            cond2 = _and([F.col(c).eqNullSafe(F.col(f"_os_f{i}")) for i, c in enumerate(keys)])
+            out = (out.join(F.broadcast(fix), cond2, "left")
                       .withColumn("_os_rank", F.coalesce("_os_fix", "_os_rank")))
     res = out
     if row_number:
@@ -214,9 +222,10 @@ def _distributed(df, order, row_number, rank, dense_rank, percent_rank, ntiles,
     if rank:
         res = res.withColumn(rank, F.col("_os_rank"))
     if dense_rank:
-        res = res.withColumn(dense_rank, (F.col(_LDR) + F.col("doff")).cast("bigint"))
+        res = res.withColumn(dense_rank, (F.col(_LDR) + F.col("_os_doff")).cast("bigint"))
     if percent_rank:
-        res = res.withColumn(percent_rank, F.when(n > 1, (F.col("_os_rank") - 1) / (n - 1)).otherwise(F.lit(0.0)))
+        res = res.withColumn(percent_rank,
+                             F.when(n > 1, (F.col("_os_rank") - 1) / (n - 1)).otherwise(F.lit(0.0)))
     for name, k in ntiles.items():
         res = res.withColumn(name, _ntile(rn, n, k))
     for name, (tmp, col) in run_cols.items():

@@ -19,9 +19,9 @@ def _on_warehouse(view) -> Callable[[SparkSession, str], DataFrame]:
 
 def view_functions() -> dict:
     """Report name -> ``Warehouse -> DataFrame``."""
-    from tillstar.plans import kpi
+    from tillstar.plans import kpi, marketing, windows
     views = {}
-    for mod in (kpi,):
+    for mod in (kpi, marketing, windows):
         views.update(mod.VIEWS)
     return views
 
@@ -32,8 +32,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from tillstar.oracle import kpi as okpi
+    from tillstar.oracle import kpi as okpi, marketing as omkt, windows as owin
     out = {}
-    for mod in (okpi,):
+    for mod in (okpi, omkt, owin):
         out.update(mod.SQL)
     return out

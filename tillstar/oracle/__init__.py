@@ -141,22 +141,22 @@ dim_customer AS (
          COUNT(DISTINCT order_id) AS total_orders,
          SUM(revenue) AS total_revenue,
          SUM(profit) AS total_profit,
-         """ + ratio("SUM(revenue)", "COUNT(DISTINCT order_id)") + """ AS avg_order_value,
+         CAST(""" + ratio("SUM(revenue)", "COUNT(DISTINCT order_id)") + """ AS DECIMAL(10,2)) AS avg_order_value,
          COUNT(DISTINCT order_id) > 1 AS is_repeat_customer,
-         """ + avg("rating") + """ AS avg_rating,
+         CAST(""" + avg("rating") + """ AS DECIMAL(3,2)) AS avg_rating,
          date_diff('day', MIN(order_date), MAX(order_date)) AS customer_lifespan_days
   FROM clean GROUP BY customer_id
 ),
 dim_product AS (
   SELECT row_number() OVER (ORDER BY product_id, product_category) AS product_key,
          product_id, product_category,
-         """ + ratio("SUM(product_price)", "COUNT(*)") + """ AS avg_list_price,
-         """ + ratio("SUM(discount_percent)", "COUNT(*)") + """ AS avg_discount_pct,
+         CAST(""" + ratio("SUM(product_price)", "COUNT(*)") + """ AS DECIMAL(10,2)) AS avg_list_price,
+         CAST(""" + ratio("SUM(discount_percent)", "COUNT(*)") + """ AS DECIMAL(5,2)) AS avg_discount_pct,
          SUM(quantity) AS total_units_sold,
          SUM(revenue) AS total_revenue,
          SUM(profit) AS total_profit,
-         """ + ratio("SUM(is_returned)", "COUNT(*)", 4) + """ AS return_rate,
-         """ + avg("rating") + """ AS avg_rating,
+         CAST(""" + ratio("SUM(is_returned)", "COUNT(*)", 4) + """ AS DECIMAL(5,4)) AS return_rate,
+         CAST(""" + avg("rating") + """ AS DECIMAL(3,2)) AS avg_rating,
          COUNT(DISTINCT order_id) AS order_count
   FROM clean GROUP BY product_id, product_category
 ),

@@ -148,8 +148,8 @@ def customer_profile(clean: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("revenue").alias("total_revenue"),
         F.sum("profit").alias("total_profit"),
-        ratio(F.sum("revenue"), F.count(F.lit(1))).alias("avg_order_value"),
-        ratio(F.sum("rating"), F.count("rating")).alias("avg_rating"),
+        ratio(F.sum("revenue"), F.count(F.lit(1))).cast("decimal(10,2)").alias("avg_order_value"),
+        ratio(F.sum("rating"), F.count("rating")).cast("decimal(3,2)").alias("avg_rating"),
     ).withColumn("is_repeat_customer", F.col("total_orders") > 1) \
      .withColumn("customer_lifespan_days", F.datediff("last_order_date", "first_order_date"))
 
@@ -173,13 +173,13 @@ def build_dim_customer(profile: DataFrame, n: int | None) -> DataFrame:
 
 def product_profile(clean: DataFrame) -> DataFrame:
     return clean.groupBy("product_id", "product_category").agg(
-        ratio(F.sum("product_price"), F.count(F.lit(1))).alias("avg_list_price"),
-        ratio(F.sum("discount_percent"), F.count(F.lit(1))).alias("avg_discount_pct"),
+        ratio(F.sum("product_price"), F.count(F.lit(1))).cast("decimal(10,2)").alias("avg_list_price"),
+        ratio(F.sum("discount_percent"), F.count(F.lit(1))).cast("decimal(5,2)").alias("avg_discount_pct"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("revenue").alias("total_revenue"),
         F.sum("profit").alias("total_profit"),
-        ratio(F.sum("is_returned"), F.count(F.lit(1)), 4).alias("return_rate"),
-        ratio(F.sum("rating"), F.count("rating")).alias("avg_rating"),
+        ratio(F.sum("is_returned"), F.count(F.lit(1)), 4).cast("decimal(5,4)").alias("return_rate"),
+        ratio(F.sum("rating"), F.count("rating")).cast("decimal(3,2)").alias("avg_rating"),
         F.count(F.lit(1)).alias("order_count"),
     )
 

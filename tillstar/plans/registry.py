@@ -19,9 +19,9 @@ def _on_warehouse(view) -> Callable[[SparkSession, str], DataFrame]:
 
 def view_functions() -> dict:
     """Report name -> ``Warehouse -> DataFrame``."""
-    from tillstar.plans import customer, executive, kpi, marketing, windows
+    from tillstar.plans import customer, executive, kpi, marketing, notebook, windows
     views = {}
-    for mod in (kpi, customer, marketing, windows, executive):
+    for mod in (kpi, customer, marketing, windows, executive, notebook):
         views.update(mod.VIEWS)
     return views
 
@@ -32,8 +32,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from tillstar.oracle import customer as ocus, executive as oexe, kpi as okpi, marketing as omkt, windows as owin
+    from tillstar.oracle import customer as ocus, executive as oexe, kpi as okpi, marketing as omkt
+    from tillstar.oracle import notebook as onb, windows as owin
     out = {}
-    for mod in (okpi, ocus, omkt, owin, oexe):
+    for mod in (okpi, ocus, omkt, owin, oexe, onb):
         out.update(mod.SQL)
     return out

@@ -196,7 +196,8 @@ fact_sales AS (
          CAST(ROUND((r.product_price - r.discounted_price) * r.quantity, 2) AS DECIMAL(12,2)) AS discount_amount,
          r.shipping_cost, r.revenue, r.profit,
          CAST(ROUND(r.product_price * r.quantity, 2) AS DECIMAL(12,2)) AS gross_revenue,
-         CAST(ROUND(CAST(r.profit AS DECIMAL(38,10)) / NULLIF(r.revenue, 0), 4) AS DECIMAL(7,4)) AS profit_margin_pct,
+         CAST(ROUND(CAST(CAST(r.profit AS DOUBLE) / NULLIF(CAST(r.revenue AS DOUBLE), 0) AS DECIMAL(38,10)), 4)
+              AS DECIMAL(7,4)) AS profit_margin_pct,
          r.rating, r.is_returned
   FROM clean r
   JOIN dim_customer dc ON r.customer_id = dc.customer_id

@@ -19,9 +19,10 @@ def _on_warehouse(view) -> Callable[[SparkSession, str], DataFrame]:
 
 def view_functions() -> dict:
     """Report name -> ``Warehouse -> DataFrame``."""
-    from tillstar.plans import customer, executive, kpi, marketing, notebook, quality_reports, windows
+    from tillstar.plans import (customer, executive, kpi, marketing, notebook, quality_reports, star_reports,
+                                windows)
     views = {}
-    for mod in (kpi, customer, marketing, windows, executive, notebook, quality_reports):
+    for mod in (kpi, customer, marketing, windows, executive, notebook, quality_reports, star_reports):
         views.update(mod.VIEWS)
     return views
 
@@ -33,8 +34,8 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     from tillstar.oracle import customer as ocus, executive as oexe, kpi as okpi, marketing as omkt
-    from tillstar.oracle import notebook as onb, quality as oq, windows as owin
+    from tillstar.oracle import notebook as onb, quality as oq, star as ostar, windows as owin
     out = {}
-    for mod in (okpi, ocus, omkt, owin, oexe, onb, oq):
+    for mod in (okpi, ocus, omkt, owin, oexe, onb, oq, ostar):
         out.update(mod.SQL)
     return out

@@ -42,26 +42,37 @@ def long_form(df: DataFrame, cols: list, as_type: str, extra: list | None = None
 # exact quantiles
 # --------------------------------------------------------------------------
 
+VALUE_TYPE = "DECIMAL(18,4)"  # compact (long-backed) exact decimal for per-row values
+
+
 def exact_quantiles(df: DataFrame, cols: list, probs: list, expected_rows: int | None = None) -> DataFrame:
-    """(column_name, p, value): linear-interpolated quantiles of non-null values."""
+    """(column_name, p, value): linear-interpolated quantiles of non-null values.
+
+    Rows are first reduced to (column, value, count) -- a map-side combined
+    aggregate, so a value repeated millions of times is one row -- and the
+    order statistic at position k is the value whose cumulative count
+    first reaches k.  Only the distinct values are ordered."""
     spark = df.sparkSession
-    long = (long_form(df, cols, "DECIMAL(38,4)").filter(F.col("value").isNotNull())
-            .withColumn("_uid", F.monotonically_increasing_id()))
-    ranked = ordered_stats(long, OrderSpec([("value", False)], [("_uid", False)]), partition_by=["column_name"],
-                           row_number="_rn", expected_rows=expected_rows * len(cols) if expected_rows else None)
-    counts = long.groupBy(F.col("column_name").alias("_qcol")).agg(F.count(F.lit(1)).alias("_n"))
+    long = long_form(df, cols, VALUE_TYPE).filter(F.col("value").isNotNull())
+    vc = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c")).persist()
+    n_vc = vc.count()  # size check: picks the single-task or range-partitioned ordering
+    ranked = ordered_stats(vc, OrderSpec([("value", False)]), partition_by=["column_name"],
+                           running_sums={"_cum": "_c"}, expected_rows=n_vc)
+    counts = vc.groupBy(F.col("column_name").alias("_qcol")).agg(F.sum("_c").alias("_n"))
     ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
     h = (F.col("_n") - 1).cast("double") * F.col("p")
     need = (counts.crossJoin(ps)
             .withColumn("_lo", (F.floor(h) + 1).cast("bigint"))
             .withColumn("_hi", F.least(F.floor(h) + 2, F.col("_n")).cast("bigint"))
             .withColumn("_frac", h - F.floor(h)))
+    first, last = F.col("_cum") - F.col("_c") + 1, F.col("_cum")
+    covers_lo = (first <= F.col("_lo")) & (F.col("_lo") <= last)
+    covers_hi = (first <= F.col("_hi")) & (F.col("_hi") <= last)
     # columns x probabilities rows: a bounded broadcast
-    hit = ranked.join(F.broadcast(need), (F.col("column_name") == F.col("_qcol"))
-                      & ((F.col("_rn") == F.col("_lo")) | (F.col("_rn") == F.col("_hi"))))
+    hit = ranked.join(F.broadcast(need), (F.col("column_name") == F.col("_qcol")) & (covers_lo | covers_hi))
     g = hit.groupBy("column_name", "p", "_frac").agg(
-        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("value"))).alias("_vlo"),
-        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("value"))).alias("_vhi"))
+        F.max(F.when(covers_lo, F.col("value"))).alias("_vlo"),
+        F.max(F.when(covers_hi, F.col("value"))).alias("_vhi"))
     vlo, vhi = dbl("_vlo"), dbl("_vhi")
     return g.select("column_name", "p", (vlo + (vhi - vlo) * F.col("_frac")).alias("value"))
 
@@ -76,43 +87,57 @@ def _order_struct(df: DataFrame) -> Column:
 
 
 def dq_profile(df: DataFrame, cols: list | None = None) -> DataFrame:
-    """DQ-1 per column: dtype, non-null, nulls, null %, distinct, first sample."""
+    """DQ-1 per column: dtype, non-null, nulls, null %, distinct, first sample.
+
+    Counts and the first non-null sample (lowest order_id, then ingestion
+    sequence) come from ONE wide aggregate; distinct counts from a
+    (column, value) aggregate combined map-side."""
     cols = cols or [c for c in df.columns if not c.startswith("_")]
     dtypes = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    long = long_form(df, cols, "STRING", [_order_struct(df).alias("_ord")])
-    per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c"), F.min("_ord").alias("_o"))
-    nn = F.col("value").isNotNull()
-    per_col = per_value.groupBy("column_name").agg(
-        F.sum("_c").alias("_rows"),
-        F.sum(F.when(nn, F.col("_c")).otherwise(0)).alias("non_null"),
-        F.count("value").alias("distinct_count"),
-        F.min_by(F.col("value"), F.when(nn, F.col("_o"))).alias("sample_value"))
+    ord_ = _order_struct(df)
+    wide = df.agg(F.count(F.lit(1)).alias("_rows"),
+                  *[F.count(F.col(f"`{c}`")).alias(f"nn_{c}") for c in cols],
+                  *[F.min_by(F.col(f"`{c}`").cast("string"), F.when(F.col(f"`{c}`").isNotNull(), ord_))
+                    .alias(f"sm_{c}") for c in cols])
+    per_col = wide.select("_rows", F.expr(
+        f"stack({len(cols)}, " + ", ".join(f"'{c}', `nn_{c}`, `sm_{c}`" for c in cols)
+        + ") AS (column_name, non_null, sample_value)"))
+    distinct = (long_form(df, cols, "STRING").filter(F.col("value").isNotNull()).distinct()
+                .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
     types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column_name string, dtype string")
-    return (per_col.join(F.broadcast(types), "column_name").select(
+    return (per_col.join(distinct, "column_name", "left").join(F.broadcast(types), "column_name").select(
         "column_name", "dtype", big("non_null").alias("non_null"),
         big(F.col("_rows") - F.col("non_null")).alias("null_count"),
         pct(F.col("_rows") - F.col("non_null"), F.col("_rows")).alias("null_pct"),
-        big("distinct_count").alias("distinct_count"), "sample_value"))
+        big(F.coalesce("distinct_count", F.lit(0))).alias("distinct_count"), "sample_value"))
 
 
 def dq_numeric_summary(df: DataFrame, cols: list | None = None, expected_rows: int | None = None) -> DataFrame:
-    """DQ-2 describe(): count, mean, std, min, p5..p95, max (rounded 2)."""
+    """DQ-2 describe(): count, mean, std, min, p5..p95, max (rounded 2).
+    Moments come from one wide aggregate; percentiles from exact_quantiles."""
     cols = cols or numeric_columns(df)
-    long = long_form(df, cols, "DECIMAL(38,4)").filter(F.col("value").isNotNull())
-    base = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("value").alias("_s"),
-        F.stddev_samp(dbl("value")).alias("_std"), F.min("value").alias("_min"), F.max("value").alias("_max"))
+    aggs = []
+    for c in cols:
+        v = F.col(f"`{c}`")
+        aggs += [F.count(v).alias(f"n_{c}"), F.sum(v.cast(VALUE_TYPE)).alias(f"s_{c}"),
+                 F.stddev_samp(v.cast(VALUE_TYPE).cast("double")).alias(f"sd_{c}"),
+                 F.min(v.cast(VALUE_TYPE)).alias(f"mn_{c}"), F.max(v.cast(VALUE_TYPE)).alias(f"mx_{c}")]
+    wide = df.agg(*aggs)
+    base = wide.select(F.expr(
+        f"stack({len(cols)}, " + ", ".join(
+            f"'{c}', `n_{c}`, CAST(`s_{c}` AS DOUBLE), `sd_{c}`, CAST(`mn_{c}` AS DOUBLE), CAST(`mx_{c}` AS DOUBLE)"
+            for c in cols) + ") AS (column_name, count, _s, _std, _min, _max)"))
     qs = exact_quantiles(df, cols, DESCRIBE_PROBS, expected_rows)
-    wide = qs.groupBy("column_name").pivot("p", DESCRIBE_PROBS).agg(F.first("value"))
+    wide_q = qs.groupBy("column_name").pivot("p", DESCRIBE_PROBS).agg(F.first("value"))
     names = {p: f"p{int(round(p * 100))}" for p in DESCRIBE_PROBS}
-    out = base.join(wide, "column_name")
+    out = base.join(wide_q, "column_name")
     return out.select(
         "column_name", big("count").alias("count"),
-        snap_round(dbl("_s") / F.col("count")).alias("mean"),
+        snap_round(F.col("_s") / F.col("count")).alias("mean"),
         snap_round(F.col("_std")).alias("std"),
-        snap_round(dbl("_min")).alias("min"),
+        snap_round(F.col("_min")).alias("min"),
         *[snap_round(F.col(f"`{p}`")).alias(names[p]) for p in DESCRIBE_PROBS],
-        snap_round(dbl("_max")).alias("max"))
+        snap_round(F.col("_max")).alias("max"))
 
 
 def null_counts_all(df: DataFrame, cols: list | None = None) -> DataFrame:

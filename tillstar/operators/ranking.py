@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tillstar.session import conf_int, ensure_checkpoint_dir
 
 SINGLE_TASK_MAX_ROWS_KEY = "tillstar.window.singleTaskMaxRows"
-SINGLE_TASK_MAX_ROWS = 200_000
+SINGLE_TASK_MAX_ROWS = 1_000_000
 ROWS_PER_RANGE_KEY = "tillstar.window.rowsPerRange"
 ROWS_PER_RANGE = 2_000_000
 

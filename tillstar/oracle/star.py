@@ -85,3 +85,5 @@ JOIN dim_payment_method dpm ON fs.payment_method_key = dpm.payment_method_key"""
                        "channel_type, is_paid FROM dim_traffic_source"),
     "register_views": KPI["kpi_monthly_revenue"],
 }
+
+SQL["stream_ingest"] = q(f"SELECT {NORM17}, 'shopify_export' AS _source FROM raw_sales")

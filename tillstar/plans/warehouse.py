@@ -265,6 +265,9 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -> Warehouse:
     level = StorageLevel.MEMORY_AND_DISK
+    # the raw lines feed the cleaning job and every profiling / quality
+    # report; they are materialized once, by the first count below
+    raw = raw.persist(level)
     clean = clean_orders(raw).persist(level)
     counts = {"clean": clean.count()}
     if start is None or end is None:

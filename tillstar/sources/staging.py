@@ -52,6 +52,13 @@ def stage_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey")
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    # An unsplittable input (one file, one row group) scans in one task; the
+    # joins, projections and the dedup pre-sort would then run serially.
+    # Spread it round-robin only in that case -- many-file inputs keep their
+    # scan parallelism and skip this shuffle.
+    target = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < target:
+        li = li.repartition(target)
 
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
            .join(cu, od.o_custkey == cu.c_custkey)

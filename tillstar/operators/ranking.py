@@ -36,6 +36,7 @@ SINGLE_TASK_MAX_ROWS_KEY = "tillstar.window.singleTaskMaxRows"
 SINGLE_TASK_MAX_ROWS = 1_000_000
 ROWS_PER_RANGE_KEY = "tillstar.window.rowsPerRange"
 ROWS_PER_RANGE = 2_000_000
+MAX_RANGES = 100_000
 
 _PID, _LRN, _LRK, _LDR = "_os_pid", "_os_lrn", "_os_lrk", "_os_ldr"
 
@@ -139,10 +140,13 @@ def _distributed(df, order, part, row_number, rank, dense_rank, percent_rank, nt
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     per_range = conf_int(spark, ROWS_PER_RANGE_KEY, ROWS_PER_RANGE)
+    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if expected_rows:
-        n_ranges = max(1, -(-expected_rows // per_range))
+        # enough ranges to keep each near ``per_range`` rows, capped so that
+        # the per-range statistics stay a small broadcast
+        n_ranges = min(max(1, -(-expected_rows // per_range)), MAX_RANGES)
     else:
-        n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n_ranges = shuffle_parts
     base_cols = df.columns
     part_sort = [F.col(c).asc_nulls_last() for c in part]
 

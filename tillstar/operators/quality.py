@@ -382,23 +382,27 @@ FK_CHECKS = [("date_key", "dim_date"), ("customer_key", "dim_customer"), ("produ
 
 
 def referential_integrity(wh) -> DataFrame:
-    """DQ-19 fact rows whose key has no dimension row (left anti joins)."""
-    parts = []
-    for fk, dim in FK_CHECKS:
-        d = wh.table(dim).select(fk)
-        d = F.broadcast(d) if wh.can_broadcast(dim) else d
-        orphans = wh.fact.select(fk).join(d, fk, "left_anti")
-        parts.append(orphans.agg(big(F.count(F.lit(1))).alias("orphans"))
-                     .select(F.lit(f"fact_sales.{fk}").alias("foreign_key"), F.lit(dim).alias("references"),
-                             "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.withColumn("status", F.when(F.col("orphans") == 0, "PASS").otherwise("FAIL"))
-    total = out.agg(big(F.sum("orphans")).alias("orphans")).select(
-        F.lit("ALL").alias("foreign_key"), F.lit("*").alias("references"), "orphans",
-        F.when(F.col("orphans") == 0, "PASS").otherwise("FAIL").alias("status"))
-    return out.unionByName(total)
+    """DQ-19 fact rows whose key has no dimension row.
+
+    One scan of the fact: each foreign key is left-joined to its dimension's
+    distinct keys (broadcast when the counted dimension is small) and one
+    aggregate counts the rows that found no match, per key and overall."""
+    f = wh.fact.select(*[fk for fk, _ in FK_CHECKS])
+    for i, (fk, dim) in enumerate(FK_CHECKS):
+        keys = wh.table(dim).select(F.col(fk).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        keys = F.broadcast(keys) if wh.can_broadcast(dim) else keys
+        f = f.join(keys, F.col(fk) == F.col(f"_k{i}"), "left")
+    miss = [F.col(f"_hit{i}").isNull() for i in range(len(FK_CHECKS))]
+    any_miss = miss[0]
+    for m in miss[1:]:
+        any_miss = any_miss | m
+    one = f.agg(*[F.count(F.when(m, 1)).alias(f"o{i}") for i, m in enumerate(miss)],
+                F.count(F.when(any_miss, 1)).alias("o_all"))
+    parts = ", ".join(f"'fact_sales.{fk}', '{dim}', o{i}" for i, (fk, dim) in enumerate(FK_CHECKS))
+    rows = one.select(F.expr(f"stack({len(FK_CHECKS) + 1}, {parts}, 'ALL', '*', o_all) "
+                             f"AS (foreign_key, references, orphans)"))
+    return rows.select("foreign_key", "references", big("orphans").alias("orphans"),
+                       F.when(F.col("orphans") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
 UNIQUE_KEYS = [("dim_date", "date_key"), ("dim_customer", "customer_key"), ("dim_customer", "customer_id"),

@@ -285,11 +285,17 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
     dim_product = build_dim_product(pprof, n_prod).persist(level)
     counts["dim_product"] = dim_product.count()
     dims = {"dim_customer": dim_customer, "dim_product": dim_product}
+    # the three small dimensions come from ONE scan: the distinct
+    # (country, channel, payment) combinations (at most the product of the
+    # three value counts), checked by count before use
+    combos = clean.select("customer_country", "traffic_source", "payment_method").distinct().persist(level)
+    counts["_combos"] = combos.count()
     for name, builder in [("dim_country", build_dim_country), ("dim_traffic_source", build_dim_traffic_source),
                           ("dim_payment_method", build_dim_payment_method)]:
-        d = builder(clean).persist(level)
+        d = builder(combos).persist(level)
         counts[name] = d.count()
         dims[name] = d
+    combos.unpersist()
     fact = build_fact(clean, dims, counts, spark, counts["clean"]).persist(level)
     counts["fact_sales"] = fact.count()
     cprof.unpersist()

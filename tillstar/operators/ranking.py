@@ -154,6 +154,10 @@ def _distributed(df, order, part, row_number, rank, dense_rank, percent_rank, nt
     ranged = (df.repartitionByRange(n_ranges, *part_sort, *order.full_exprs)
                 .withColumn(_PID, F.spark_partition_id())
                 .checkpoint(eager=True))
+    # One partition per range id for the per-range windows: a range exchange
+    # on the id satisfies their clustering (the default hash exchange on the
+    # id would pile several ranges into one task).
+    ranged = ranged.repartitionByRange(n_ranges, F.col(_PID))
 
     # 2. local numbering within each (range, group)
     grp = [_PID] + part

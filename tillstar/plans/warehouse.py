@@ -22,7 +22,8 @@ from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import ratio
 from tillstar.operators.dedup import dedup_keep_first
-from tillstar.operators.ranking import OrderSpec, ordered_stats
+from tillstar.operators.ranking import (SINGLE_TASK_MAX_ROWS, SINGLE_TASK_MAX_ROWS_KEY, OrderSpec,
+                                        ordered_stats)
 from tillstar.schemas import INGEST_SEQ, RAW_COLUMNS
 from tillstar.session import conf_int
 
@@ -253,11 +254,14 @@ def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
         F.round(F.col("profit") / F.nullif(F.col("revenue"), F.lit(0)), 4).cast("decimal(7,4)")
          .alias("profit_margin_pct"),
         "rating", "is_returned")
-    # always the range-partitioned numbering: the single-task window would
-    # leave the persisted fact in ONE partition and serialize every report's
-    # scan of it; ranges keep it spread over the cluster
     keyed = ordered_stats(f, OrderSpec(keys=[("order_id", False)]), row_number="sales_key",
-                          expected_rows=None)
+                          expected_rows=expected_rows)
+    if expected_rows is not None and expected_rows <= conf_int(spark, SINGLE_TASK_MAX_ROWS_KEY,
+                                                               SINGLE_TASK_MAX_ROWS):
+        # the single-task numbering leaves one partition; spread the (bounded)
+        # result so the persisted fact is scanned by every core.  Above the
+        # threshold the range-partitioned numbering is already spread.
+        keyed = keyed.repartition(spark.sparkContext.defaultParallelism)
     return keyed.select(*FACT_COLUMNS, F.current_timestamp().alias("_loaded_at"))
 
 

@@ -190,32 +190,35 @@ def build_dim_product(profile: DataFrame, n: int | None) -> DataFrame:
     return keyed.withColumn("_created_at", F.current_timestamp())
 
 
-def _small_dim(values: DataFrame, key: str, name_col: str, attrs: dict) -> DataFrame:
-    """Distinct values of a low-cardinality column + mapped attributes +
-    key ordered by the value.  The distinct values are few (checked by the
-    caller's count), so the ordered window runs on a tiny input."""
+def _small_dim(values: DataFrame, key: str, name_col: str, attrs: dict, expected_rows: int | None = None) -> DataFrame:
+    """Distinct values of a low-cardinality column + mapped attributes + key
+    ordered by the value.  ``expected_rows`` (the counted combinations) bounds
+    the input of the key numbering; an unknown size takes the range path."""
     out = values.select(F.col(name_col)).distinct()
     for a, expr in attrs.items():
         out = out.withColumn(a, expr)
-    return out.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(key), name_col, *attrs)
+    keyed = assign_key(out, key, [name_col], expected_rows)
+    return keyed.select(F.col(key).cast("int").alias(key), name_col, *attrs)
 
 
-def build_dim_country(clean: DataFrame) -> DataFrame:
+def build_dim_country(clean: DataFrame, expected_rows: int | None = None) -> DataFrame:
     c = F.col("country_name")
     return _small_dim(clean.select(F.col("customer_country").alias("country_name")), "country_key",
-                      "country_name", {"region": mp.region_of(c), "currency_code": mp.currency_of(c)})
+                      "country_name", {"region": mp.region_of(c), "currency_code": mp.currency_of(c)},
+                      expected_rows)
 
 
-def build_dim_traffic_source(clean: DataFrame) -> DataFrame:
+def build_dim_traffic_source(clean: DataFrame, expected_rows: int | None = None) -> DataFrame:
     s = F.col("traffic_source")
     return _small_dim(clean, "traffic_source_key", "traffic_source",
-                      {"channel_type": mp.channel_type_of(s), "is_paid": mp.is_paid_of(s)})
+                      {"channel_type": mp.channel_type_of(s), "is_paid": mp.is_paid_of(s)}, expected_rows)
 
 
-def build_dim_payment_method(clean: DataFrame) -> DataFrame:
+def build_dim_payment_method(clean: DataFrame, expected_rows: int | None = None) -> DataFrame:
     m = F.col("payment_method")
     return _small_dim(clean, "payment_method_key", "payment_method",
-                      {"payment_type": mp.payment_type_of(m), "is_digital_wallet": mp.is_wallet_of(m)})
+                      {"payment_type": mp.payment_type_of(m), "is_digital_wallet": mp.is_wallet_of(m)},
+                      expected_rows)
 
 
 FACT_COLUMNS = ["sales_key", "order_id", "date_key", "customer_key", "product_key", "country_key",
@@ -299,7 +302,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
     counts["_combos"] = combos.count()
     for name, builder in [("dim_country", build_dim_country), ("dim_traffic_source", build_dim_traffic_source),
                           ("dim_payment_method", build_dim_payment_method)]:
-        d = builder(combos).persist(level)
+        d = builder(combos, counts["_combos"]).persist(level)
         counts[name] = d.count()
         dims[name] = d
     combos.unpersist()

@@ -49,7 +49,7 @@ def _rfm_out(df: DataFrame) -> DataFrame:
                      "r_score", "f_score", "m_score")
 
 
-def rfm_segments_df(wh: Warehouse) -> DataFrame:
+def _build_rfm_segments_df(wh: Warehouse) -> DataFrame:
     b = rfm_base(wh)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return (b.withColumn("rfm_composite_score", ratio(r + f + m, F.lit(3)))
@@ -57,6 +57,10 @@ def rfm_segments_df(wh: Warehouse) -> DataFrame:
              .withColumn("customer_segment", mp.rfm_segment(r, f, m)))
 
 
+def rfm_segments_df(wh: Warehouse) -> DataFrame:
+    return wh.memo("rfm_segments", lambda: _build_rfm_segments_df(wh))
+
+
 def rfm_base_view(wh: Warehouse) -> DataFrame:
     return _rfm_out(rfm_base(wh))
 
@@ -96,7 +100,7 @@ def clv_projection_cents(revenue: str, orders: str, life: str):
     return F.when(slow, half_up_div(c * 3, n)).otherwise(half_up_div(c * 1095, life))
 
 
-def customer_clv_df(wh: Warehouse) -> DataFrame:
+def _build_customer_clv_df(wh: Warehouse) -> DataFrame:
     seg = rfm_segments_df(wh).select("customer_id", F.col("customer_segment").alias("rfm_segment"))
     d = wh.dim_customer
     life = F.col("customer_lifespan_days")
@@ -117,6 +121,10 @@ def customer_clv_df(wh: Warehouse) -> DataFrame:
     return out
 
 
+def customer_clv_df(wh: Warehouse) -> DataFrame:
+    return wh.memo("customer_clv", lambda: _build_customer_clv_df(wh))
+
+
 def customer_clv(wh: Warehouse) -> DataFrame:
     return customer_clv_df(wh).drop("_clv")
 
@@ -155,7 +163,7 @@ def repeat_purchase_analysis(wh: Warehouse) -> DataFrame:
                     pct(F.col("_rev"), F.sum("_rev").over(w)).alias("pct_of_total_revenue"))
 
 
-def cohort_counts(wh: Warehouse) -> DataFrame:
+def _build_cohort_counts(wh: Warehouse) -> DataFrame:
     """(cohort_month, order_month) -> distinct active customers.
 
     Orders are first reduced to distinct (customer, month) pairs (a partial
@@ -169,6 +177,10 @@ def cohort_counts(wh: Warehouse) -> DataFrame:
                  .withColumn("period_number", cal.months_between_starts(F.col("order_month"), F.col("cohort_month"))))
 
 
+def cohort_counts(wh: Warehouse) -> DataFrame:
+    return wh.memo("cohort_counts", lambda: _build_cohort_counts(wh))
+
+
 def cohort_retention(wh: Warehouse) -> DataFrame:
     c = cohort_counts(wh)
     # cohorts x periods is bounded by the calendar (months squared)

@@ -106,7 +106,7 @@ def eda_returns(wh: Warehouse) -> DataFrame:
 
 # --- customer notebook ------------------------------------------------------
 
-def customer_fact_profile(wh: Warehouse) -> DataFrame:
+def _build_customer_fact_profile(wh: Warehouse) -> DataFrame:
     """Per customer_key from fact rows (the notebook's groupby on the fact)."""
     return wh.fact.groupBy("customer_key").agg(
         F.max("date_key").alias("_last_key"), F.min("date_key").alias("_first_key"),
@@ -114,6 +114,10 @@ def customer_fact_profile(wh: Warehouse) -> DataFrame:
         F.sum("profit").alias("_prof"))
 
 
+def customer_fact_profile(wh: Warehouse) -> DataFrame:
+    return wh.memo("customer_fact_profile", lambda: _build_customer_fact_profile(wh))
+
+
 def qcut_score(rank_col: str, n_col: str, q: int = 5):
     """Quantile bin (1..q) of rank k among n, as ``qcut(rank(method='first'), q)``:
     max(1, ceil((k-1)*q/(n-1))) computed in integers."""
@@ -122,7 +126,7 @@ def qcut_score(rank_col: str, n_col: str, q: int = 5):
         F.greatest(F.lit(1), F.call_function("div", (k - 1) * q + n - 2, n - 1))).cast("bigint")
 
 
-def rfm_quantile_df(wh: Warehouse) -> DataFrame:
+def _build_rfm_quantile_df(wh: Warehouse) -> DataFrame:
     p = customer_fact_profile(wh)
     snap = wh.fact.agg(F.date_add(cal.key_to_date(F.max("date_key")), 1).alias("_snap"))
     base = p.crossJoin(snap).select(
@@ -142,6 +146,10 @@ def rfm_quantile_df(wh: Warehouse) -> DataFrame:
                     m.alias("m_score"), (r + f + m).alias("rfm_score"))
 
 
+def rfm_quantile_df(wh: Warehouse) -> DataFrame:
+    return wh.memo("rfm_quantile", lambda: _build_rfm_quantile_df(wh))
+
+
 def rfm_quantile(wh: Warehouse) -> DataFrame:
     return rfm_quantile_df(wh).drop("_mon")
 
@@ -161,7 +169,7 @@ def rfm_quantile_segments(wh: Warehouse) -> DataFrame:
              .orderBy(F.desc("total_revenue"), "segment"))
 
 
-def clv_clipped_df(wh: Warehouse) -> DataFrame:
+def _build_clv_clipped_df(wh: Warehouse) -> DataFrame:
     p = customer_fact_profile(wh)
     life = F.greatest(F.datediff(cal.key_to_date(F.col("_last_key")), cal.key_to_date(F.col("_first_key"))),
                       F.lit(1))
@@ -183,6 +191,10 @@ def clv_clipped_df(wh: Warehouse) -> DataFrame:
         mp.clv_tier_right_closed(F.round("_rev", 2)).alias("clv_tier"))
 
 
+def clv_clipped_df(wh: Warehouse) -> DataFrame:
+    return wh.memo("clv_clipped", lambda: _build_clv_clipped_df(wh))
+
+
 def clv_clipped(wh: Warehouse) -> DataFrame:
     return clv_clipped_df(wh).drop("_clv")
 

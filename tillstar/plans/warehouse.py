@@ -27,6 +27,8 @@ from tillstar.operators.ranking import (SINGLE_TASK_MAX_ROWS, SINGLE_TASK_MAX_RO
 from tillstar.schemas import INGEST_SEQ, RAW_COLUMNS
 from tillstar.session import conf_int
 
+_LOCK = threading.RLock()
+
 BROADCAST_MAX_ROWS_KEY = "tillstar.broadcast.maxRows"
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -53,6 +55,18 @@ class Warehouse:
     fact: DataFrame
     counts: dict = field(default_factory=dict)
     raw: DataFrame | None = None
+    _memo: dict = field(default_factory=dict, repr=False)
+
+    def memo(self, name: str, build) -> DataFrame:
+        """A derived table shared by several reports (RFM scores, per-product
+        totals, the month series ...): built once per warehouse and persisted
+        (MEMORY_AND_DISK; lost blocks recompute from lineage)."""
+        with _LOCK:
+            df = self._memo.get(name)
+            if df is None:
+                df = build().persist(StorageLevel.MEMORY_AND_DISK)
+                self._memo[name] = df
+            return df
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -314,7 +328,6 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
 
 
 _CACHE: dict = {}
-_LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -19,7 +19,7 @@ from tillstar.plans.warehouse import Warehouse
 UNB, CUR = Window.unboundedPreceding, Window.currentRow
 
 
-def monthly_series(wh: Warehouse) -> DataFrame:
+def _build_monthly_series(wh: Warehouse) -> DataFrame:
     """(year, month, month_label) -> exact revenue / profit sums, orders."""
     f = wh.with_dims(wh.fact, date=["year", "month", "month_label"])
     return f.groupBy("year", "month", "month_label").agg(
@@ -28,7 +28,11 @@ def monthly_series(wh: Warehouse) -> DataFrame:
         big(orders_count()).alias("orders"))
 
 
-def product_totals(wh: Warehouse) -> DataFrame:
+def monthly_series(wh: Warehouse) -> DataFrame:
+    return wh.memo("monthly_series", lambda: _build_monthly_series(wh))
+
+
+def _build_product_totals(wh: Warehouse) -> DataFrame:
     """Per product: fact aggregated by surrogate key first, then joined to the
     product dimension (a product-grain join instead of a fact-grain join)."""
     agg = wh.fact.groupBy("product_key").agg(
@@ -39,13 +43,21 @@ def product_totals(wh: Warehouse) -> DataFrame:
     return agg.join(wh.dim("product", "product_id", "product_category"), "product_key")
 
 
-def customer_totals(wh: Warehouse) -> DataFrame:
+def product_totals(wh: Warehouse) -> DataFrame:
+    return wh.memo("product_totals", lambda: _build_product_totals(wh))
+
+
+def _build_customer_totals(wh: Warehouse) -> DataFrame:
     agg = wh.fact.groupBy("customer_key").agg(
         F.sum("revenue").alias("rev"), F.sum("profit").alias("prof"), orders_count().alias("orders"),
         F.min("date_key").alias("first_key"), F.max("date_key").alias("last_key"))
     return agg.join(wh.dim("customer", "customer_id", "customer_country"), "customer_key")
 
 
+def customer_totals(wh: Warehouse) -> DataFrame:
+    return wh.memo("customer_totals", lambda: _build_customer_totals(wh))
+
+
 def win_product_row_number(wh: Warehouse) -> DataFrame:
     p = product_totals(wh)
     ranked = ordered_stats(p, OrderSpec(keys=[("rev", True)], tie_break=[("product_key", False)]),

@@ -1,7 +1,7 @@
 """Star-schema build: clean orders -> six dimensions + sales fact.
 
 The build runs once per (session, source) and is kept for every report:
-the cleaned order table and the fact are persisted (MEMORY_AND_DISK, so an
+the cleaned order table and the fact are persisted (MEMORY_AND_DISK_DESER, so an
 evicted or lost block is recomputed from lineage), each dimension is
 counted once, and that count decides later whether a dimension is joined
 by broadcast (bounded, checked size) or by a shuffled join (AQE splits
@@ -60,11 +60,11 @@ class Warehouse:
     def memo(self, name: str, build) -> DataFrame:
         """A derived table shared by several reports (RFM scores, per-product
         totals, the month series ...): built once per warehouse and persisted
-        (MEMORY_AND_DISK; lost blocks recompute from lineage)."""
+        (MEMORY_AND_DISK_DESER; lost blocks recompute from lineage)."""
         with _LOCK:
             df = self._memo.get(name)
             if df is None:
-                df = build().persist(StorageLevel.MEMORY_AND_DISK)
+                df = build().persist(StorageLevel.MEMORY_AND_DISK_DESER)
                 self._memo[name] = df
             return df
 
@@ -288,7 +288,7 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -> Warehouse:
-    level = StorageLevel.MEMORY_AND_DISK
+    level = StorageLevel.MEMORY_AND_DISK_DESER
     # the raw lines feed the cleaning job and every profiling / quality
     # report; they are materialized once, by the first count below
     raw = raw.persist(level)

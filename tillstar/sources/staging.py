@@ -74,7 +74,8 @@ def stage_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     tax_int = F.round(F.col("l_tax") * 1000, 0).cast("int")
     qty = F.col("l_quantity").cast("int") % 10 + 1
     rating = (F.when(F.col("l_suppkey") % 11 == 0, F.lit(None))
-              .otherwise(F.lit(1) + _dec("0.5", 1, 1) * (F.col("l_suppkey") % 9))).cast("decimal(3,1)")
+              .otherwise(F.lit(1) + _dec("0.5", 1, 1) * (F.col("l_suppkey") % 9).cast("decimal(2,0)"))
+              ).cast("decimal(3,1)")
 
     staged = j.select(
         F.col("l_orderkey").alias("order_id"),
@@ -93,12 +94,18 @@ def stage_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_returned"),
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias(INGEST_SEQ),
     )
-    dprice = F.round(F.col("product_price") * (F.lit(100) - F.col("_disc")) * _dec("0.01", 3, 2), 2).cast("decimal(10,2)")
-    ship = F.round(F.col("product_price") * F.col("_tax") * _dec("0.01", 3, 2), 2).cast("decimal(10,2)")
+    # Exact money with every intermediate at most 18 digits, so Spark keeps
+    # the decimals in longs: small integer factors as decimal(3,0)/(4,0) and
+    # the 0.01 factor as decimal(2,2).
+    pct_left = (F.lit(100) - F.col("_disc")).cast("decimal(3,0)")
+    dprice = F.round(F.col("product_price") * pct_left * _dec("0.01", 2, 2), 2).cast("decimal(10,2)")
+    ship = F.round(F.col("product_price") * F.col("_tax").cast("decimal(4,0)") * _dec("0.01", 2, 2), 2
+                   ).cast("decimal(10,2)")
     staged = (staged.withColumn("discounted_price", dprice)
                     .withColumn("shipping_cost", ship)
                     .withColumn("discount_percent", F.col("_disc").cast("decimal(5,2)")))
-    staged = (staged.withColumn("revenue", (F.col("discounted_price") * F.col("quantity")).cast("decimal(12,2)"))
-                    .withColumn("profit", (F.col("discounted_price") * F.col("quantity") - F.col("shipping_cost"))
+    qty_dec = F.col("quantity").cast("decimal(3,0)")
+    staged = (staged.withColumn("revenue", (F.col("discounted_price") * qty_dec).cast("decimal(12,2)"))
+                    .withColumn("profit", (F.col("discounted_price") * qty_dec - F.col("shipping_cost"))
                                 .cast("decimal(12,2)")))
     return staged.select(*RAW_COLUMNS, INGEST_SEQ)

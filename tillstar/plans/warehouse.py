@@ -300,14 +300,18 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
     dim_date = build_dim_date(spark, start, end).persist(level)
     counts["dim_date"] = (_dt.date.fromisoformat(str(end)) - _dt.date.fromisoformat(str(start))).days + 1
 
+    # Each dimension's row count is known without a job of its own: keys are
+    # added row for row to the counted profiles, and the small dimensions are
+    # bounded by the counted (country, channel, payment) combinations.  The
+    # persisted dimensions materialize inside the fact build that joins them.
     cprof = customer_profile(clean).persist(level)
     n_cust = cprof.count()
     dim_customer = build_dim_customer(cprof, n_cust).persist(level)
-    counts["dim_customer"] = dim_customer.count()
+    counts["dim_customer"] = n_cust
     pprof = product_profile(clean).persist(level)
     n_prod = pprof.count()
     dim_product = build_dim_product(pprof, n_prod).persist(level)
-    counts["dim_product"] = dim_product.count()
+    counts["dim_product"] = n_prod
     dims = {"dim_customer": dim_customer, "dim_product": dim_product}
     # the three small dimensions come from ONE scan: the distinct
     # (country, channel, payment) combinations (at most the product of the
@@ -316,12 +320,13 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
     counts["_combos"] = combos.count()
     for name, builder in [("dim_country", build_dim_country), ("dim_traffic_source", build_dim_traffic_source),
                           ("dim_payment_method", build_dim_payment_method)]:
-        d = builder(combos, counts["_combos"]).persist(level)
-        counts[name] = d.count()
-        dims[name] = d
-    combos.unpersist()
+        dims[name] = builder(combos, counts["_combos"]).persist(level)
+        counts[name] = counts["_combos"]  # upper bound of the distinct values
     fact = build_fact(clean, dims, counts, spark, counts["clean"]).persist(level)
     counts["fact_sales"] = fact.count()
+    for name in ("dim_country", "dim_traffic_source", "dim_payment_method"):
+        counts[name] = dims[name].count()  # exact, from the cache just filled
+    combos.unpersist()
     cprof.unpersist()
     pprof.unpersist()
     return Warehouse(spark=spark, clean=clean, dim_date=dim_date, fact=fact, counts=counts, raw=raw, **dims)

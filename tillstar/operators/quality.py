@@ -10,14 +10,13 @@ at the needed positions are kept -- no column is ever gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.metrics import big, dbl, pct, snap_round
 from tillstar.operators.ranking import OrderSpec, ordered_stats
-from tillstar.schemas import (CATEGORICAL_COLUMNS, INGEST_SEQ, INT_COLUMNS, MONEY_COLUMNS, RAW_COLUMNS,
-                              RAW_DEFAULTS, RAW_SALES)
+from tillstar.schemas import CATEGORICAL_COLUMNS, INGEST_SEQ, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 DESCRIBE_PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import (avg_of, big, dbl, discount_rate_pct, margin_pct, money,
-                                        orders_count, pct, ratio, return_rate_pct)
+                                        orders_count, ratio, return_rate_pct)
 from tillstar.plans.warehouse import Warehouse
 
 

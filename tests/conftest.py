@@ -13,6 +13,13 @@ def spark():
     from tillstar.session import build_session
     ckpt = tempfile.mkdtemp(prefix="tillstar-test-")
     s = build_session("local[4]", app_name="tillstar-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g"})
     yield s
     s.stop()
+
+
+@pytest.fixture
+def release_cache(spark):
+    """Drop cached tables after a test that builds its own warehouses."""
+    yield
+    spark.catalog.clearCache()

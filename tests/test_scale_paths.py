@@ -30,6 +30,7 @@ def forced_wh(spark):
         spark.conf.set(k, v)
     wh = build_warehouse(spark, stage_raw_sales(spark, SF))
     yield wh
+    wh.release()
     for k, v in old.items():
         if v is None:
             spark.conf.unset(k)

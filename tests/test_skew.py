@@ -54,6 +54,8 @@ def both(spark):
             spark.conf.set(k, v)
     for name in VIEWS:
         out[name] = (sorted(tuple(r) for r in views[name](small).collect()), out[name])
+    small.release()
+    large.release()
     return out
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import make_raw
@@ -14,6 +15,8 @@ from tillstar.schemas import INGEST_SEQ, RAW_COLUMNS
 
 d = dt.date
 
+pytestmark = pytest.mark.usefixtures("release_cache")
+
 
 def rows_by(df, key):
     return {r[key]: r.asDict() for r in df.collect()}

@@ -68,6 +68,17 @@ class Warehouse:
                 self._memo[name] = df
             return df
 
+    def release(self) -> None:
+        """Unpersist every table this warehouse cached (long-lived sessions
+        building several warehouses)."""
+        with _LOCK:
+            for df in list(self._memo.values()) + [self.raw, self.clean, self.fact, self.dim_date,
+                                                   self.dim_customer, self.dim_product, self.dim_country,
+                                                   self.dim_traffic_source, self.dim_payment_method]:
+                if df is not None:
+                    df.unpersist()
+            self._memo.clear()
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 

@@ -28,11 +28,11 @@ def normalized(df: DataFrame) -> DataFrame:
 
 def _raw(wh: Warehouse) -> DataFrame:
     """Staged raw lines (order_id repeats) with the ingestion sequence."""
-    return wh.raw.select(*RAW_COLUMNS, INGEST_SEQ)
+    return wh.raw_lines().select(*RAW_COLUMNS, INGEST_SEQ)
 
 
 def _raw17(wh: Warehouse) -> DataFrame:
-    return wh.raw.select(*RAW_COLUMNS)
+    return wh.raw_lines().select(*RAW_COLUMNS)
 
 
 def dq_profile(wh):

@@ -80,7 +80,7 @@ def read_sales_csv_report(wh: Warehouse) -> DataFrame:
     """SRC-1: the raw lines exported as header CSV, read back with the schema."""
     spark = wh.spark
     p = scratch_path(spark, "raw_sales_csv")
-    wh.raw.select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).csv(p)
+    wh.raw_lines().select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).csv(p)
     return normalized(readers.read_sales_csv(spark, p))
 
 
@@ -93,7 +93,7 @@ def read_clean_report(wh: Warehouse) -> DataFrame:
 
 
 def raw_schema_report(wh: Warehouse) -> DataFrame:
-    return normalized(readers.raw_schema(wh.raw).drop("_ingested_at"))
+    return normalized(readers.raw_schema(wh.raw_lines()).drop("_ingested_at"))
 
 
 def date_spine_report(wh: Warehouse) -> DataFrame:
@@ -184,7 +184,7 @@ def stream_ingest_report(wh: Warehouse) -> DataFrame:
     from tillstar.streaming.ingest import start_raw_ingest
     spark = wh.spark
     src = scratch_path(spark, "landing")
-    wh.raw.select(*RAW_COLUMNS).repartition(4).write.option("header", True).csv(src)
+    wh.raw_lines().select(*RAW_COLUMNS).repartition(4).write.option("header", True).csv(src)
     tgt, ck = scratch_path(spark, "raw_stream"), scratch_path(spark, "raw_stream_ckpt")
     start_raw_ingest(spark, src, tgt, ck).awaitTermination()
     return normalized(spark.read.parquet(tgt).drop("_ingested_at", "batch_id"))

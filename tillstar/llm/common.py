@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,25 @@ def key_range(key: Column, ranges: Column) -> Column:
     return F.least(F.floor(key / F.lit(float(1 << 60)) * ranges), ranges - 1).cast("bigint")
 
 
+class Shared:
+    """A broadcast object that executors need no library to read: it travels
+    as bytes that carry its class, and every worker unpacks it once."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._value = None
+
+    def __getstate__(self):
+        return {"_bytes": self._bytes, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            import pickle
+            self._value = pickle.loads(self._bytes.value)
+        return self._value
+
+
 class WordHasher:
     """64-bit hashes of words, with a bounded memo per worker."""
 

@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import host_quality, mixing, sharding
+from tillstar.llm import group_join, host_quality, langid, mixing, sharding, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def id_remainder(column: str, m: int):
+    """crc32 of the id as text, modulo m: the fold of a document."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % m
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows not held out."""
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.filter(id_remainder("doc_id", 3) != 1))
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and the host-level verdict for every document."""
     return host_quality.host_quality(documents(spark, sf_dir)).select(
@@ -19,6 +32,11 @@ def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "host_flagged")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of near duplicates for every document."""
+    return group_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.with_copies(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -31,8 +49,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels not held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(id_remainder("doc_id", 5) != 0)
+    return toxicity.score(docs, toxicity.train(docs, labels)).select(
+        "doc_id", F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_host_quality, op7_mixing, op8_sharding)}
+    return {f.__name__: f for f in (op1_language_id, op2_host_quality, op3_ngram_jaccard_join, op7_mixing,
+                                    op8_sharding, op9_toxicity)}
 
 
 def oracle_sql() -> dict:

@@ -74,25 +74,31 @@ class Shared:
         return self._value
 
 
+BROADCAST_BYTES = 16 << 20
+
+
+def small_side(table: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table of fixed-width columns as one side of a join: broadcast
+    if its counted rows stay below ``most`` bytes, else shuffled."""
+    return F.broadcast(table) if table.count() * 16 * len(table.columns) <= most else table
+
+
+class _Memo(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class WordHasher:
     """64-bit hashes of words, with a bounded memo per worker."""
 
     def __init__(self, limit: int = 400_000):
-        self.memo: dict[bytes, int] = {}
-        self.limit = limit
+        self.memo, self.limit = _Memo(), limit
 
     def __call__(self, ws: list[bytes]) -> np.ndarray:
-        memo = self.memo
-        if len(memo) > self.limit:
-            memo.clear()
-        out = np.empty(len(ws), dtype=np.uint64)
-        digest = xxhash.xxh3_64_intdigest
-        for i, w in enumerate(ws):
-            h = memo.get(w)
-            if h is None:
-                h = memo[w] = digest(w)
-            out[i] = h
-        return out
+        if len(self.memo) > self.limit:
+            self.memo.clear()
+        return np.fromiter(map(self.memo.__getitem__, ws), np.uint64, len(ws))
 
 
 def ascii_words(text: str | None) -> list[bytes]:

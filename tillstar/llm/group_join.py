@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import WordHasher, ascii_words, shared_table, shingle_sequence
+from tillstar.llm.common import WordHasher, ascii_words, shared_table, shingle_sequence, small_side
 from tillstar.llm.graph import components
 
 PERCENT = 75
@@ -254,3 +254,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", percent: int = PERC
     return found.select("id", "n", "c").join(of_class, "c", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
+
+
+def first_of_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, with the smallest id of their
+    component; rows of equal id are one document and give one row, rows with
+    a null id stay."""
+    found = shared_table(near_duplicates(docs, percent=percent).select("doc_id", "component_id"), "jaccard-result")
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    again = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_again")).count() \
+        .filter("count > 1").select("_again")
+    gone, again = shared_table(gone, "jaccard-gone"), shared_table(again, "jaccard-again")
+    left = docs.join(small_side(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
+    if not again.take(1):
+        return left
+    repeated = left["doc_id"] == F.col("_again")
+    return left.join(small_side(again), repeated, "left_anti").unionByName(
+        left.join(small_side(again), repeated, "left_semi").dropDuplicates(["doc_id"]))

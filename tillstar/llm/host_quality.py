@@ -40,18 +40,19 @@ HOST_RATE = 0.25
 WINDOW = 5
 
 
-def document_counts(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per document: doc_id, host and the counts the rules need."""
-    d = docs.select(F.col("doc_id"), F.col(host).alias("host"),
+def document_counts(docs: DataFrame, host: str = "source", keep: tuple = ()) -> DataFrame:
+    """One row per document: doc_id, host, the columns named in ``keep`` and
+    the counts the rules need."""
+    d = docs.select(F.col("doc_id"), F.col(host).alias("host"), *keep,
                     F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    d = d.select("doc_id", "host", "t", words(F.col("t")).alias("w"),
+    d = d.select("doc_id", "host", *keep, "t", words(F.col("t")).alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("ln"))
     n = F.size("w")
     window_hash = F.transform(
         F.slice("w", 1, F.greatest(n - (WINDOW - 1), F.lit(0))),
         lambda x, i: F.xxhash64(x, *[F.get("w", i + k) for k in range(1, WINDOW)]))
     d = d.select(
-        "doc_id", "host", n.cast("bigint").alias("n_words"),
+        "doc_id", "host", *keep, n.cast("bigint").alias("n_words"),
         F.length(F.regexp_replace("t", SEPARATORS, "")).cast("bigint").alias("word_chars"),
         F.regexp_count("t", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         F.size("ln").cast("bigint").alias("n_lines"),
@@ -60,7 +61,7 @@ def document_counts(docs: DataFrame, host: str = "source") -> DataFrame:
     # Only a text with a repeated window sorts its windows: equal ones become
     # neighbours, and their positions give the words they cover.
     none = F.array().cast("array<struct<h:bigint,p:int>>")
-    counts = ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
+    counts = ["doc_id", "host", *keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
     d = d.select(*counts, F.when(
         F.size(F.array_distinct("h")) < F.size("h"),
         F.array_sort(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
@@ -109,12 +110,21 @@ def host_verdicts(ruled: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
                          (rate >= host_rate).alias("host_flagged")))
 
 
-def host_quality(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
-    """Counts, rule results and verdict (``kept``) for every document."""
-    counts = shared_table(document_counts(docs, host), "quality-counts")
+def host_quality(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE, keep: tuple = ()) -> DataFrame:
+    """Counts, rule results and verdict (``kept``) for every document, with
+    the columns named in ``keep``."""
+    counts = shared_table(document_counts(docs, host, keep), "quality-counts")
     ruled = apply_rules(counts)
     hosts = host_verdicts(ruled, host_rate).withColumnRenamed("host", "h_host")
     kept = ~F.col("base_failed") & ~F.col("severe") & (~F.col("any_failed") | ~F.col("host_flagged"))
     return (ruled.join(hosts, F.col("host").eqNullSafe(F.col("h_host")))
                  .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", kept.alias("kept"), "host", "host_rate", "host_flagged"))
+                         "base_failed", kept.alias("kept"), "host", "host_rate", "host_flagged", *keep))
+
+
+def kept_rows(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+    """The rows of ``docs``, all columns, that the verdict keeps.  Rows are
+    judged as they stand, so nothing is joined by id."""
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_quality_row")
+    judged = host_quality(docs.select("doc_id", "text", docs[host], row), host, host_rate, ("_quality_row",))
+    return judged.filter("kept").select(*[F.col("_quality_row").getField(c).alias(c) for c in docs.columns])

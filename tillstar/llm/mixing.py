@@ -106,8 +106,8 @@ def with_copies(docs: DataFrame, seed: str = SEED, keep: tuple = (), **how) -> D
 def mix(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     """The mixed rows: every document as often as the mix takes it, with the
     columns of ``docs``."""
-    rows = with_copies(docs.select("*", F.struct(*[docs[c] for c in docs.columns]).alias("_mix_row")),
-                       seed, keep=("_mix_row",), **how)
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_mix_row")
+    rows = with_copies(docs.select("doc_id", "text", "source", row), seed, keep=("_mix_row",), **how)
     return (rows.filter("copies > 0")
                 .select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
                 .select(*[F.col("_mix_row").getField(c).alias(c) for c in docs.columns]))

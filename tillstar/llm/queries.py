@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import group_join, host_quality, langid, mixing, sharding, toxicity
+from tillstar.llm import (compact_windows, decontaminate, group_join, host_quality, langid, licenses, mixing, sharding,
+                          toxicity, warc)
+from tillstar.llm.common import shared_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +39,23 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives all pages and reads every record back through the index."""
+    folder = shared_path(spark, "warc")
+    lines, directory = warc.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.read_back(lines.select("key"), directory, folder)
+
+
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share."""
+    return compact_windows.repeated_passages(documents(spark, sf_dir))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents repeat."""
+    return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.with_copies(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -58,11 +77,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document."""
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op2_host_quality, op3_ngram_jaccard_join, op7_mixing,
-                                    op8_sharding, op9_toxicity)}
+    return {f.__name__: f for f in (
+        op1_language_id, op2_host_quality, op3_ngram_jaccard_join, op4_warc, op5_compact_windows, op6_decontamination,
+        op7_mixing, op8_sharding, op9_toxicity, op10_license_scan)}
 
 
 def oracle_sql() -> dict:
     from tillstar.llm import sql
-    return {"op2_host_quality": sql.HOST_QUALITY, "op7_mixing": sql.MIXING}
+    return {"op2_host_quality": sql.HOST_QUALITY, "op4_warc": sql.WARC, "op7_mixing": sql.MIXING}

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import key_range, random_key, shared_table
+from tillstar.llm.common import key_range, random_key, shared_table, small_side
 
 SHARDS = 24
 ROWS_PER_RANGE = 100_000
@@ -46,20 +46,21 @@ def _numbered(rows: DataFrame, group: list, order: list, name: str) -> DataFrame
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED,
-                  rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """doc_id, source, size, text_crc32, shard, slot: one row per row of
-    ``docs``.  Shard counts differ by one at most; slots run from 0."""
+                  rows_per_range: int = ROWS_PER_RANGE, keep: tuple = ()) -> DataFrame:
+    """doc_id, source, size, text_crc32, shard, slot and the columns named in
+    ``keep``: one row per row of ``docs``.  Shard counts differ by one at
+    most; slots run from 0."""
     text = F.coalesce(F.col("text"), F.lit(""))
     narrow = shared_table(docs.select(
         F.col("doc_id"), F.col("source"), (F.octet_length(text) + 8).cast("bigint").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), random_key(seed, F.col("doc_id")).alias("key")),
-        "shard-rows")
+        F.crc32(text.cast("binary")).alias("text_crc32"), random_key(seed, F.col("doc_id")).alias("key"),
+        *keep), "shard-rows")
     per = narrow.groupBy("source").agg(F.count(F.lit(1)).alias("n")) \
                 .withColumn("total", F.sum("n").over(Window.partitionBy())) \
                 .withColumnRenamed("source", "p_source")
     rows = (narrow.join(per, F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
                   .withColumn("r", key_range(F.col("key"), F.ceil(F.col("n") / rows_per_range))))
-    tie = ["key", F.col("doc_id").asc_nulls_first(), "text_crc32", "size"]
+    tie = ["key", F.col("doc_id").asc_nulls_first(), "text_crc32", "size", *keep]
     ranked = _numbered(rows, ["source"], tie, "rank")
     ranked = ranked.withColumn("part", (2 * F.col("rank") + 1) / (2 * F.col("n")))
     ranges = F.ceil(F.col("total") / rows_per_range)
@@ -70,4 +71,21 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED,
     # the first place p of shard s is the least p with p * shards >= s * total
     return placed.withColumn("shard", F.expr(f"(place * {shards}) div total")).select(
         "doc_id", "source", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
-        F.expr(f"place - (shard * total + {shards - 1}) div {shards}").alias("slot"))
+        F.expr(f"place - (shard * total + {shards - 1}) div {shards}").alias("slot"), *keep)
+
+
+def sharded_rows(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, all columns (but ones named shard or slot), with
+    ``shard`` and ``slot``.
+
+    The rows are written once, so that each has a place (file and row) by
+    which its shard is joined to it: equal rows keep apart, and only narrow
+    rows are ranked."""
+    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = shared_table(docs.select(*columns), "shard-input")
+    placed = rows.select(F.struct(*columns).alias("_row"), "doc_id", "source", "text",
+                         F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    shards = shared_table(assign_shards(placed, keep=("_file", "_at"), **how)
+                          .select("_file", "_at", "shard", "slot"), "shard-places")
+    return placed.select("_row", "_file", "_at").join(small_side(shards), ["_file", "_at"]).select(
+        *[F.col("_row").getField(c).alias(c) for c in columns], "shard", "slot")

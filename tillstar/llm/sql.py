@@ -78,3 +78,16 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (epochs + CASE WHEN upto - size / 2.0::DOUBLE <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed
 """
+
+WARC = r"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+grouped AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+         CASE WHEN strlen(body) >= 1000 THEN max(page_id) OVER (PARTITION BY body) ELSE page_id END AS holder
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN holder IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM grouped
+"""

@@ -40,11 +40,6 @@ def avg(x: str, scale: int = 2) -> str:
     return ratio(f"SUM({x})", f"COUNT({x})", scale)
 
 
-AOV = ratio("SUM(fs.revenue)", "COUNT(DISTINCT fs.order_id)")
-MARGIN = pct("SUM(fs.profit)", "SUM(fs.revenue)")
-RETURN_RATE = pct("SUM(fs.is_returned)", "COUNT(*)")
-DISCOUNT_RATE = pct("SUM(fs.discount_amount)", "SUM(fs.gross_revenue)")
-
 # --- fixed values: the adapter's label mapping, repeated in SQL form
 _ADAPTER = """
 stg AS (
@@ -132,21 +127,25 @@ dim_date AS (
               WHEN month(full_date) IN (10,11,12) THEN 3 ELSE 4 END AS fiscal_quarter
   FROM spine
 ),
-dim_customer AS (
-  SELECT row_number() OVER (ORDER BY customer_id) AS customer_key,
-         customer_id,
-         first(customer_country ORDER BY order_date DESC, order_id DESC) AS customer_country,
-         MIN(order_date) AS first_order_date,
-         MAX(order_date) AS last_order_date,
-         COUNT(DISTINCT order_id) AS total_orders,
-         SUM(revenue) AS total_revenue,
-         SUM(profit) AS total_profit,
-         CAST(""" + ratio("SUM(revenue)", "COUNT(DISTINCT order_id)") + """ AS DECIMAL(10,2)) AS avg_order_value,
-         COUNT(DISTINCT order_id) > 1 AS is_repeat_customer,
-         CAST(""" + avg("rating") + """ AS DECIMAL(3,2)) AS avg_rating,
-         date_diff('day', MIN(order_date), MAX(order_date)) AS customer_lifespan_days
+latest AS (
+  SELECT DISTINCT ON (customer_id) customer_id, customer_country
+  FROM clean ORDER BY customer_id, order_date DESC, order_id DESC
+),
+lifetime AS (
+  SELECT customer_id, min(order_date) AS since, max(order_date) AS until, count(*) AS n,
+         sum(revenue) AS turnover, sum(profit) AS gain, sum(rating) AS stars, count(rating) AS rated
   FROM clean GROUP BY customer_id
 ),
+dim_customer AS (
+  SELECT dense_rank() OVER (ORDER BY customer_id) AS customer_key,
+         customer_id, customer_country, since AS first_order_date, until AS last_order_date,
+         n AS total_orders, turnover AS total_revenue, gain AS total_profit,
+         CAST(""" + ratio("turnover", "n") + """ AS DECIMAL(10,2)) AS avg_order_value,
+         n >= 2 AS is_repeat_customer,
+         CAST(""" + ratio("stars", "NULLIF(rated, 0)") + """ AS DECIMAL(3,2)) AS avg_rating,
+         until - since AS customer_lifespan_days
+  FROM lifetime JOIN latest USING (customer_id)
+),
 dim_product AS (
   SELECT row_number() OVER (ORDER BY product_id, product_category) AS product_key,
          product_id, product_category,
@@ -187,24 +186,28 @@ dim_payment_method AS (
          payment_method IN ('PayPal', 'Apple Pay') AS is_digital_wallet
   FROM (SELECT DISTINCT payment_method FROM clean)
 ),
+sold AS (
+  SELECT clean.*, customer_key, product_key, country_key, traffic_source_key, payment_method_key,
+         date_key, year, quarter, month, month_label, quarter_label,
+         region, channel_type, is_paid, payment_type, is_digital_wallet,
+         CAST(quantity * product_price AS DECIMAL(12,2)) AS list_amount,
+         CAST(quantity * (product_price - discounted_price) AS DECIMAL(12,2)) AS reduction
+  FROM clean
+  JOIN (SELECT customer_key, customer_id FROM dim_customer) USING (customer_id)
+  JOIN (SELECT product_key, product_id, product_category FROM dim_product) USING (product_id, product_category)
+  JOIN dim_country ON country_name = customer_country
+  JOIN dim_traffic_source USING (traffic_source)
+  JOIN dim_payment_method USING (payment_method)
+  JOIN dim_date ON full_date = order_date
+),
 fact_sales AS (
-  SELECT row_number() OVER (ORDER BY r.order_id) AS sales_key,
-         r.order_id,
-         CAST(year(r.order_date) * 10000 + month(r.order_date) * 100 + day(r.order_date) AS INTEGER) AS date_key,
-         dc.customer_key, dp.product_key, dco.country_key, dt.traffic_source_key, dpm.payment_method_key,
-         r.quantity, r.product_price, r.discounted_price, r.discount_percent,
-         CAST(ROUND((r.product_price - r.discounted_price) * r.quantity, 2) AS DECIMAL(12,2)) AS discount_amount,
-         r.shipping_cost, r.revenue, r.profit,
-         CAST(ROUND(r.product_price * r.quantity, 2) AS DECIMAL(12,2)) AS gross_revenue,
-         CAST(ROUND(CAST(CAST(r.profit AS DOUBLE) / NULLIF(CAST(r.revenue AS DOUBLE), 0) AS DECIMAL(38,10)), 4)
-              AS DECIMAL(7,4)) AS profit_margin_pct,
-         r.rating, r.is_returned
-  FROM clean r
-  JOIN dim_customer dc ON r.customer_id = dc.customer_id
-  JOIN dim_product dp ON r.product_id = dp.product_id AND r.product_category = dp.product_category
-  JOIN dim_country dco ON r.customer_country = dco.country_name
-  JOIN dim_traffic_source dt ON r.traffic_source = dt.traffic_source
-  JOIN dim_payment_method dpm ON r.payment_method = dpm.payment_method
+  SELECT dense_rank() OVER (ORDER BY order_id) AS sales_key, order_id, date_key, customer_key, product_key,
+         country_key, traffic_source_key, payment_method_key, quantity, product_price, discounted_price,
+         discount_percent, reduction AS discount_amount, shipping_cost, revenue, profit,
+         list_amount AS gross_revenue,
+         CAST(""" + ratio("profit", "revenue", 4) + """ AS DECIMAL(7,4)) AS profit_margin_pct,
+         rating, is_returned
+  FROM sold
 )"""
 
 PREFIX = "WITH" + _ADAPTER + "," + _DIMS + "\n"
@@ -218,3 +221,46 @@ def q(body: str) -> str:
     if body.startswith(","):
         return PREFIX + body + "\n"
     return PREFIX + body + "\n"
+
+
+# Measures over groups of cleaned orders (one row is one order).
+MEASURES = {
+    "orders": big("count(*)"),
+    "customers": big("count(DISTINCT customer_id)"),
+    "units": big("sum(quantity)"),
+    "revenue": money("sum(revenue)"),
+    "list_revenue": money("sum(list_amount)"),
+    "profit": money("sum(profit)"),
+    "reductions": money("sum(reduction)"),
+    "shipping": money("sum(shipping_cost)"),
+    "order_value": ratio("sum(revenue)", "count(*)"),
+    "margin": pct("sum(profit)", "sum(revenue)"),
+    "reduction_rate": pct("sum(reduction)", "sum(list_amount)"),
+    "returned": big("sum(is_returned)"),
+    "return_rate": pct("sum(is_returned)", "count(*)"),
+    "returned_revenue": money("sum(revenue * is_returned)"),
+    "returned_profit": money("sum(profit * is_returned)"),
+    "stars": avg("rating"),
+    "stars_returned": ratio("sum(rating) FILTER (is_returned = 1)", "count(rating) FILTER (is_returned = 1)"),
+    "stars_kept": ratio("sum(rating) FILTER (is_returned = 0)", "count(rating) FILTER (is_returned = 0)"),
+    "discount": avg("discount_percent"),
+    "share": pct("sum(revenue)", "sum(sum(revenue)) OVER ()"),
+    "rank": big("rank() OVER (ORDER BY sum(revenue) DESC)"),
+    "from": "min(order_date)",
+    "to": "max(order_date)",
+}
+WHOLE = {"year", "quarter", "month", "product_key", "product_id", "customer_id", "customer_key"}
+
+
+def measures(out: dict) -> str:
+    """Select list of ``out``: column -> name of a measure, or SQL of its own."""
+    return ", ".join(f"{MEASURES.get(m, m)} AS {column}" for column, m in out.items())
+
+
+def grouped(keys: str, rename: dict | None = None, tail: str = "", **out: str) -> str:
+    """Statement: measures of the sold orders by ``keys`` (names with blanks
+    between); ``rename`` names keys anew."""
+    names = keys.split()
+    listed = [f"{big(k) if k in WHOLE else k} AS {(rename or {}).get(k, k)}" for k in names]
+    by = f" GROUP BY {', '.join(names)}" if names else ""
+    return q(f"SELECT {', '.join([*listed, measures(out)])} FROM sold{by} {tail}")

@@ -1,7 +1,7 @@
 """Oracle SQL for the star tables, key assignment and source / sink reports."""
 
 from tillstar.oracle import big, q
-from tillstar.oracle.customer import RFM
+from tillstar.oracle.customer import SCORED
 from tillstar.oracle.kpi import SQL as KPI
 from tillstar.oracle.quality import NORM17
 
@@ -53,10 +53,8 @@ SQL = {
                             "payment_type, is_digital_wallet FROM dim_payment_method"),
     "surrogate_keys": q(f"SELECT {big('order_id')} AS order_id, "
                         f"{big('ROW_NUMBER() OVER (ORDER BY order_id)')} AS surrogate_key FROM clean"),
-    "customer_segment_backfill": q(RFM + """
-SELECT CAST(dc.customer_key AS BIGINT) AS customer_key, CAST(dc.customer_id AS BIGINT) AS customer_id,
-       rs.customer_segment
-FROM dim_customer dc LEFT JOIN rfm_segments rs ON dc.customer_id = rs.customer_id"""),
+    "customer_segment_backfill": q(SCORED + f"""
+SELECT {big("customer_key")} AS customer_key, {big("customer_id")} AS customer_id, customer_segment FROM segmented"""),
     "fact_sales": q(f"SELECT {_FACT_COLS} FROM fact_sales"),
     "sales_enriched": q(f"""
 SELECT {_FACT_COLS.replace('CAST(', 'CAST(fs.').replace('CAST(fs.fs.', 'CAST(fs.')},

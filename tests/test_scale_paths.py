@@ -13,7 +13,7 @@ from tillstar.plans.warehouse import build_warehouse
 from tillstar.sources.staging import stage_raw_sales
 
 SF = "/root/testdata/sf0.001"
-FORCED = {"tillstar.broadcast.maxRows": "0", "tillstar.window.singleTaskMaxRows": "0",
+FORCED = {"tillstar.broadcast.maxRows": "0",
           "tillstar.window.rowsPerRange": "300", "spark.sql.autoBroadcastJoinThreshold": "-1",
           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 NAMES = ["fact_sales", "dim_customer", "kpi_monthly_revenue", "kpi_profit_by_category", "rfm_segments",

@@ -10,7 +10,7 @@ from tests.fixtures import make_raw
 from tillstar.plans.registry import view_functions
 from tillstar.plans.warehouse import build_warehouse
 
-FORCED = {"tillstar.broadcast.maxRows": "0", "tillstar.window.singleTaskMaxRows": "0",
+FORCED = {"tillstar.broadcast.maxRows": "0",
           "tillstar.window.rowsPerRange": "40", "spark.sql.autoBroadcastJoinThreshold": "-1",
           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 VIEWS = ["kpi_monthly_revenue", "rfm_segments", "customer_clv", "top_customers", "customer_pareto",

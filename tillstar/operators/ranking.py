@@ -2,25 +2,28 @@
 
 ``RANK() OVER (ORDER BY x)``, ``NTILE``, ``PERCENT_RANK`` and running sums
 over a whole customer or product table need a *global* order.  A plain
-``Window.orderBy`` (no PARTITION BY) moves all rows to a single task.  Above
-a size threshold this operator instead:
+``Window.orderBy`` (no PARTITION BY) moves all rows to a single task.  This
+operator cuts the order into ranges of about ``tillstar.window.rowsPerRange``
+rows:
 
-1. range-partitions the rows on the full sort order (measure + unique
+1. only the sort keys, the grouping and the summed columns are ranked; a wide
+   table is joined back on its unique key by the caller;
+2. range-partitions the rows on the full sort order (measure + unique
    tie-break, so no single value can overload a range) and checkpoints the
    result to the shared checkpoint folder, freezing the partition of every
    row (range bounds come from sampling and must not change on recompute);
-2. numbers rows inside each partition with windows partitioned by that
-   partition id (parallel, one task per range);
-3. aggregates one row of statistics per partition (count, sums, first and
-   last sort value, distinct count) -- bounded by the partition count --
-   and turns them into offsets with a window over that tiny table;
-4. adds the broadcast offsets back: global row_number, rank, dense_rank,
-   ntile, percent_rank and running sums.  A tie group that straddles a
-   partition boundary is fixed by taking the minimum candidate rank of the
-   (at most one per boundary) straddling values.
-
-Below the threshold the plain window is used; both paths give identical
-results (tests compare them on data with ties).
+3. numbers rows inside each range with windows partitioned by that range
+   (parallel, one task per range);
+4. aggregates one row of statistics per range (count, sums, first and last
+   sort value, distinct count) and turns them into offsets with a window over
+   that small table;
+5. adds the offsets back: global row_number, rank, dense_rank, ntile,
+   percent_rank and running sums.  A tie group that straddles a range boundary
+   is fixed by taking the minimum candidate rank of the (at most one per
+   boundary) straddling values.
+
+Groups, keys and tie-breaks may be null; every join is null-safe.  An input
+of a single range needs no offsets: its range is numbered as it stands.
 """
 
 from __future__ import annotations
@@ -32,11 +35,8 @@ from pyspark.sql import functions as F
 
 from tillstar.session import conf_int, ensure_checkpoint_dir
 
-SINGLE_TASK_MAX_ROWS_KEY = "tillstar.window.singleTaskMaxRows"
-SINGLE_TASK_MAX_ROWS = 1_000_000
 ROWS_PER_RANGE_KEY = "tillstar.window.rowsPerRange"
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 100_000
+ROWS_PER_RANGE = 1_000_000
 
 _PID, _LRN, _LRK, _LDR = "_os_pid", "_os_lrn", "_os_lrk", "_os_ldr"
 
@@ -90,20 +90,21 @@ def ordered_stats(df: DataFrame, order: OrderSpec, *, partition_by: list | None
     ``ntiles``: {out_col: k}; ``running_sums``: {out_col: value_col} (ROWS
     UNBOUNDED PRECEDING .. CURRENT ROW over the full order); ``totals``:
     {out_col: value_col} (SUM OVER the group); ``row_count``: COUNT(*) OVER
-    the group.  ``expected_rows`` (a known row count, e.g. of a dimension)
-    chooses the path; unknown means distributed.
+    the group.  ``expected_rows`` is the known row count (e.g. of a
+    dimension); without it the rows are counted.
     """
     ntiles, running_sums, totals = ntiles or {}, running_sums or {}, totals or {}
     part = list(partition_by or [])
-    spark = df.sparkSession
-    limit = conf_int(spark, SINGLE_TASK_MAX_ROWS_KEY, SINGLE_TASK_MAX_ROWS)
+    per_range = conf_int(df.sparkSession, ROWS_PER_RANGE_KEY, ROWS_PER_RANGE)
+    rows = df.count() if expected_rows is None else expected_rows
+    ranges = max(1, -(-rows // per_range))
     args = (row_number, rank, dense_rank, percent_rank, ntiles, running_sums, totals, row_count)
-    if expected_rows is not None and expected_rows <= limit:
-        return _single_task(df, order, part, *args)
-    return _distributed(df, order, part, *args, expected_rows=expected_rows)
+    if ranges == 1:
+        return _one_range(df, order, part, *args)
+    return _many_ranges(df, order, part, *args, n_ranges=ranges)
 
 
-def _single_task(df, order, part, row_number, rank, dense_rank, percent_rank, ntiles,
+def _one_range(df, order, part, row_number, rank, dense_rank, percent_rank, ntiles,
                  running_sums, totals, row_count):
     w_full = Window.partitionBy(*part).orderBy(*order.full_exprs)
     w_rank = Window.partitionBy(*part).orderBy(*order.rank_exprs)
@@ -135,18 +136,9 @@ def _and(conds):
     return out
 
 
-def _distributed(df, order, part, row_number, rank, dense_rank, percent_rank, ntiles,
-                 running_sums, totals, row_count, expected_rows=None):
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    per_range = conf_int(spark, ROWS_PER_RANGE_KEY, ROWS_PER_RANGE)
-    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if expected_rows:
-        # enough ranges to keep each near ``per_range`` rows, capped so that
-        # the per-range statistics stay a small broadcast
-        n_ranges = min(max(1, -(-expected_rows // per_range)), MAX_RANGES)
-    else:
-        n_ranges = shuffle_parts
+def _many_ranges(df, order, part, row_number, rank, dense_rank, percent_rank, ntiles,
+                 running_sums, totals, row_count, n_ranges):
+    ensure_checkpoint_dir(df.sparkSession)
     base_cols = df.columns
     part_sort = [F.col(c).asc_nulls_last() for c in part]
 
@@ -201,12 +193,12 @@ def _distributed(df, order, part, row_number, rank, dense_rank, percent_rank, nt
     for col, ps in sum_cols.items():
         stats = (stats.withColumn(ps + "_off", F.coalesce(F.sum(ps).over(w_prev), F.lit(0)))
                       .withColumn(ps + "_tot", F.sum(ps).over(w_all)))
-    stats = stats.drop("_os_tail", "_os_cnt").cache()
+    # one row per range (and group): written once, read by all that follows
+    stats = stats.drop("_os_tail", "_os_cnt").checkpoint(eager=True)
 
-    # 4. offsets back onto the rows; without groups the table has one row
-    #    per range, a bounded broadcast
-    offsets = stats.drop("_os_head", "_os_same")
-    out = local.join(F.broadcast(offsets) if not part else offsets, on=grp)
+    # 4. offsets back onto the rows
+    offsets = stats.drop("_os_head", "_os_same").withColumnsRenamed({c: f"_os_j{i}" for i, c in enumerate(grp)})
+    out = local.join(offsets, _and([F.col(c).eqNullSafe(F.col(f"_os_j{i}")) for i, c in enumerate(grp)]))
     rn = (F.col(_LRN) + F.col("_os_off")).cast("bigint")
     n = F.col("_os_n").cast("bigint")
     if need_rank:
@@ -218,11 +210,11 @@ def _distributed(df, order, part, row_number, rank, dense_rank, percent_rank, nt
         if straddle.limit(1).count() > 0:
             # at most one straddling tie group per range boundary: bounded
             cond = _and([F.col(c).eqNullSafe(F.col(f"_os_h{i}")) for i, c in enumerate(keys)])
-            fix = (out.join(F.broadcast(straddle), cond, "left_semi")
+            fix = (out.join(straddle, cond, "left_semi")
                       .groupBy(*keys).agg(F.min("_os_rank").alias("_os_fix")))
             fix = fix.select(*[F.col(c).alias(f"_os_f{i}") for i, c in enumerate(keys)], "_os_fix")
             cond2 = _and([F.col(c).eqNullSafe(F.col(f"_os_f{i}")) for i, c in enumerate(keys)])
-            out = (out.join(F.broadcast(fix), cond2, "left")
+            out = (out.join(fix, cond2, "left")
                       .withColumn("_os_rank", F.coalesce("_os_fix", "_os_rank")))
     res = out
     if row_number:

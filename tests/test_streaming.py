@@ -16,4 +16,4 @@ def test_stream_ingest_available_now(spark):
     got = spark.read.parquet(tgt)
     assert got.count() == 20
     assert got.filter("rating IS NULL").count() == 5
-    assert {r._source for r in got.select("_source").distinct().collect()} == {"shopify_export"}
+    assert {r._source for r in got.select("_source").distinct().collect()} == {"sales_export"}

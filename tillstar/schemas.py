@@ -27,7 +27,7 @@ RAW_COLUMNS = [f.name for f in RAW_SALES.fields]
 
 # Audit columns added at ingestion (SRC-4).
 AUDIT_COLUMNS = ["_ingested_at", "_source"]
-DEFAULT_SOURCE = "shopify_export"
+DEFAULT_SOURCE = "sales_export"
 
 # Column defaults of the raw table DDL.
 RAW_DEFAULTS = {"discount_percent": 0, "quantity": 1, "shipping_cost": 0, "is_returned": 0}

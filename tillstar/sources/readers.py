@@ -3,20 +3,49 @@ the typed raw table with defaults and audit columns (SRC-1 .. SRC-5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.schemas import DEFAULT_SOURCE, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES
+from tillstar.schemas import DEFAULT_SOURCE, INGEST_SEQ, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES
 
 STAR_TABLES = ["fact_sales", "dim_date", "dim_customer", "dim_product", "dim_country",
                "dim_traffic_source", "dim_payment_method"]
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_sales_lines(spark: SparkSession, path: str, schema: T.StructType = RAW_SALES) -> DataFrame:
+    """Every line of the header CSV, with the ingestion sequence (file, block
+    of the file, place in the block: the order of the file) and, for a line
+    that does not fit the schema, its text in ``_corrupt_record``."""
+    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    # with pruned columns the parser would accept lines that it has not read in full
+    lines = (spark.read.schema(fields).option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                     F.monotonically_increasing_id().alias("line"))
+    return lines.select(*schema.fieldNames(), CORRUPT, place.alias(INGEST_SEQ))
+
+
+def _lines_where(spark: SparkSession, path: str, schema: T.StructType, holds: Column) -> DataFrame:
+    # Spark refuses a query that reads nothing but the text of bad lines (a
+    # count), so the condition also reads the first column, of any value.
+    read = F.length(F.concat_ws("", F.col(schema.fieldNames()[0]))) >= 0
+    return read_sales_lines(spark, path, schema).filter(holds & read)
+
+
 def read_sales_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SALES) -> DataFrame:
-    """SRC-1 header CSV of raw sales, never schema-inferred.  Pass
-    ``RAW_SALES_TEXT`` to read everything as text for the coercion step."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """SRC-1 header CSV of raw sales, never schema-inferred, in file order.
+    Lines that do not fit are left to ``bad_lines``.  Pass ``RAW_SALES_TEXT``
+    to read everything as text for the coercion step."""
+    return _lines_where(spark, path, schema, F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType = RAW_SALES) -> DataFrame:
+    """The lines that ``read_sales_csv`` leaves out, as text."""
+    return _lines_where(spark, path, schema, F.col(CORRUPT).isNotNull()).select(CORRUPT, INGEST_SEQ)
 
 
 def clean_schema(extra_date_parts: bool = False) -> T.StructType:

@@ -41,22 +41,39 @@ def long_form(df: DataFrame, cols: list, as_type: str, extra: list | None = None
 # exact quantiles
 # --------------------------------------------------------------------------
 
-VALUE_TYPE = "DECIMAL(18,4)"  # compact (long-backed) exact decimal for per-row values
+def value_type(t: T.DataType) -> str:
+    """The type in which a column's values are ordered and summed: exact for
+    integers and decimals, at their own scale, DOUBLE for floating point."""
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return "DOUBLE"
+    return f"DECIMAL(38,{t.scale if isinstance(t, T.DecimalType) else 0})"
 
 
 def exact_quantiles(df: DataFrame, cols: list, probs: list, expected_rows: int | None = None) -> DataFrame:
     """(column_name, p, value): linear-interpolated quantiles of non-null values.
 
-    Rows are first reduced to (column, value, count) -- a map-side combined
-    aggregate, so a value repeated millions of times is one row -- and the
-    order statistic at position k is the value whose cumulative count
-    first reaches k.  Only the distinct values are ordered."""
+    Columns of one value type are taken together.  Rows are first reduced to
+    (column, value, count) -- a map-side combined aggregate, so a value
+    repeated millions of times is one row -- and the order statistic at
+    position k is the value whose cumulative count first reaches k.  Only the
+    distinct values are ordered."""
+    by_type: dict = {}
+    for c in cols:
+        by_type.setdefault(value_type(df.schema[c].dataType), []).append(c)
+    out = None
+    for kind, names in by_type.items():
+        part = _quantiles_of_type(df, names, kind, probs)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _quantiles_of_type(df: DataFrame, cols: list, kind: str, probs: list) -> DataFrame:
     spark = df.sparkSession
-    long = long_form(df, cols, VALUE_TYPE).filter(F.col("value").isNotNull())
-    vc = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c")).persist()
-    n_vc = vc.count()  # size check: picks the single-task or range-partitioned ordering
+    long = long_form(df, cols, kind).filter(F.col("value").isNotNull())
+    # written once: counted, ordered and summed up below
+    vc = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
     ranked = ordered_stats(vc, OrderSpec([("value", False)]), partition_by=["column_name"],
-                           running_sums={"_cum": "_c"}, expected_rows=n_vc)
+                           running_sums={"_cum": "_c"})
     counts = vc.groupBy(F.col("column_name").alias("_qcol")).agg(F.sum("_c").alias("_n"))
     ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
     h = (F.col("_n") - 1).cast("double") * F.col("p")
@@ -118,9 +135,10 @@ def dq_numeric_summary(df: DataFrame, cols: list | None = None, expected_rows: i
     aggs = []
     for c in cols:
         v = F.col(f"`{c}`")
-        aggs += [F.count(v).alias(f"n_{c}"), F.sum(v.cast(VALUE_TYPE)).alias(f"s_{c}"),
-                 F.stddev_samp(v.cast(VALUE_TYPE).cast("double")).alias(f"sd_{c}"),
-                 F.min(v.cast(VALUE_TYPE)).alias(f"mn_{c}"), F.max(v.cast(VALUE_TYPE)).alias(f"mx_{c}")]
+        exact = v.cast(value_type(df.schema[c].dataType))
+        aggs += [F.count(v).alias(f"n_{c}"), F.sum(exact).alias(f"s_{c}"),
+                 F.stddev_samp(v.cast("double")).alias(f"sd_{c}"),
+                 F.min(exact).alias(f"mn_{c}"), F.max(exact).alias(f"mx_{c}")]
     wide = df.agg(*aggs)
     base = wide.select(F.expr(
         f"stack({len(cols)}, " + ", ".join(
@@ -247,7 +265,8 @@ def apply_defaults(df: DataFrame) -> DataFrame:
 
 def clean_pipeline(text_df: DataFrame, impute: bool = False) -> DataFrame:
     """Cleaning in the order that keeps coercion nulls visible to the
-    imputation: coerce -> trim -> keep-first dedup -> (impute)."""
+    imputation: coerce -> trim -> keep-first dedup -> (impute).  The input
+    carries the ingestion sequence, which says what came first."""
     from tillstar.operators.dedup import dedup_keep_first
     typed = trim_strings(coerce_types(text_df))
     deduped = dedup_keep_first(typed, "order_id")
@@ -357,8 +376,8 @@ def constraint_checks(df: DataFrame, key: str = "order_id") -> DataFrame:
     aggs += [big(F.count(F.when(c, 1))).alias(n) for n, c in checks.items()]
     aggs += [big(F.count(F.when(F.col(c).isNull(), 1))).alias(f"not_null_{c}") for c in NOT_NULL_COLUMNS
              if c in df.columns]
-    one = df.agg(*aggs).withColumn("pk_raw_shopify_sales", F.col("_rows") - F.col("_keys"))
-    names = ["pk_raw_shopify_sales"] + list(checks) + [f"not_null_{c}" for c in NOT_NULL_COLUMNS if c in df.columns]
+    one = df.agg(*aggs).withColumn("pk_raw_sales", F.col("_rows") - F.col("_keys"))
+    names = ["pk_raw_sales"] + list(checks) + [f"not_null_{c}" for c in NOT_NULL_COLUMNS if c in df.columns]
     return one.select(_stack(names, lambda c: f"`{c}`")).select(
         F.col("column_name").alias("constraint_name"), big("value").alias("violations"))
 

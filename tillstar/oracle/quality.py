@@ -192,7 +192,7 @@ FROM r""")
 
 def _constraints() -> str:
     rows = [
-        ("pk_raw_shopify_sales", "COUNT(*) - COUNT(DISTINCT order_id)"),
+        ("pk_raw_sales", "COUNT(*) - COUNT(DISTINCT order_id)"),
         ("chk_quantity_positive", "COUNT(CASE WHEN NOT (quantity > 0) THEN 1 END)"),
         ("chk_discount_range", "COUNT(CASE WHEN NOT (discount_percent BETWEEN 0 AND 100) THEN 1 END)"),
         ("chk_is_returned", "COUNT(CASE WHEN NOT (is_returned IN (0, 1)) THEN 1 END)"),

@@ -1,8 +1,9 @@
 """Oracle SQL for the star tables, key assignment and source / sink reports."""
 
 from tillstar.oracle import big, q
-from tillstar.oracle.customer import SCORED
+from tillstar.oracle.customer import SCORED, SQL as CUSTOMER
 from tillstar.oracle.kpi import SQL as KPI
+from tillstar.oracle.marketing import SQL as MARKETING
 from tillstar.oracle.quality import NORM17
 
 _DATE = """SELECT CAST(date_key AS BIGINT) AS date_key, full_date, CAST(year AS BIGINT) AS year,
@@ -71,17 +72,18 @@ JOIN dim_payment_method dpm ON fs.payment_method_key = dpm.payment_method_key"""
     "read_clean": q(f"SELECT {NORM17} FROM clean"),
     "load_warehouse": q("\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, {big('COUNT(*)')} AS row_count FROM {t}" for t in _TABLES)),
-    "raw_schema": q(f"SELECT {NORM17}, 'shopify_export' AS _source FROM raw_sales"),
+    "raw_schema": q(f"SELECT {NORM17}, 'sales_export' AS _source FROM raw_sales"),
     "date_spine": q("SELECT full_date FROM spine"),
     "write_clean": q(f"""SELECT {NORM17}, {big('year(order_date)')} AS order_year,
        {big('month(order_date)')} AS order_month, {big('quarter(order_date)')} AS order_quarter,
        strftime(order_date, '%A') AS order_dow FROM clean"""),
     "write_warehouse": q(f"SELECT {_FACT_COLS} FROM fact_sales"),
-    "idempotent_replace": q("SELECT CAST(country_key AS BIGINT) AS country_key, country_name, region, currency_code "
-                            "FROM dim_country"),
-    "insert_select": q("SELECT CAST(traffic_source_key AS BIGINT) AS traffic_source_key, traffic_source, "
-                       "channel_type, is_paid FROM dim_traffic_source"),
-    "register_views": KPI["kpi_monthly_revenue"],
 }
 
-SQL["stream_ingest"] = q(f"SELECT {NORM17}, 'shopify_export' AS _source FROM raw_sales")
+_COUNTS = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, {big('count(*)')} AS row_count FROM {t}" for t in _TABLES)
+_VIEW_COUNTS = "\nUNION ALL ".join(f"SELECT '{name}' AS table_name, {big('count(*)')} AS row_count FROM ({sql})"
+                                   for name, sql in {**KPI, **CUSTOMER, **MARKETING}.items())
+SQL["idempotent_replace"] = q(_COUNTS)
+SQL["insert_select"] = q(_COUNTS)
+SQL["register_views"] = q(_COUNTS + "\nUNION ALL " + _VIEW_COUNTS)
+SQL["stream_ingest"] = q(f"SELECT {NORM17}, 'sales_export' AS _source FROM raw_sales")

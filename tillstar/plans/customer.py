@@ -32,7 +32,7 @@ def _snapshot(wh: Warehouse) -> DataFrame:
 
 def rfm_base(wh: Warehouse) -> DataFrame:
     n = wh.customer_rows()
-    base = (wh.dim_customer.crossJoin(_snapshot(wh)).select(
+    base = (wh.dim_customer.crossJoin(F.broadcast(_snapshot(wh))).select(
         "customer_id", "customer_key", "customer_country",
         F.datediff("_snapshot", "last_order_date").cast("bigint").alias("recency_days"),
         big("total_orders").alias("frequency"),

@@ -64,7 +64,7 @@ def exec_top_products(wh: Warehouse, limit: int = 10) -> DataFrame:
     """Top products by revenue.  RANK over all products equals RANK inside
     the top-k; the share uses the one-row grand total."""
     p = product_totals(wh)
-    top = p.orderBy(F.desc("rev"), "product_id", "product_category").limit(limit).crossJoin(_total_revenue(wh))
+    top = p.orderBy(F.desc("rev"), "product_id", "product_category").limit(limit).crossJoin(F.broadcast(_total_revenue(wh)))
     return (top.select(
         big(F.rank().over(Window.orderBy(F.desc("rev")))).alias("rank"),
         big("product_id").alias("product_id"), "product_category",
@@ -103,7 +103,7 @@ def exec_category_scorecard(wh: Warehouse) -> DataFrame:
 
 def exec_top_customers(wh: Warehouse, limit: int = 10) -> DataFrame:
     c = customer_totals(wh)
-    top = c.orderBy(F.desc("rev"), "customer_id").limit(limit).crossJoin(_total_revenue(wh))
+    top = c.orderBy(F.desc("rev"), "customer_id").limit(limit).crossJoin(F.broadcast(_total_revenue(wh)))
     w = Window.orderBy(F.desc("rev"), F.asc("customer_id"))
     return (top.select(
         big(F.rank().over(Window.orderBy(F.desc("rev")))).alias("rank"),

@@ -129,7 +129,7 @@ def qcut_score(rank_col: str, n_col: str, q: int = 5):
 def _build_rfm_quantile_df(wh: Warehouse) -> DataFrame:
     p = customer_fact_profile(wh)
     snap = wh.fact.agg(F.date_add(cal.key_to_date(F.max("date_key")), 1).alias("_snap"))
-    base = p.crossJoin(snap).select(
+    base = p.crossJoin(F.broadcast(snap)).select(
         "customer_key", F.datediff("_snap", cal.key_to_date(F.col("_last_key"))).cast("bigint").alias("recency_days"),
         big("frequency").alias("frequency"), F.round("_rev", 2).alias("_mon"))
     n = wh.customer_rows()

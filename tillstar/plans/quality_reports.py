@@ -149,7 +149,7 @@ def build_summary(wh: Warehouse) -> DataFrame:
         F.min("full_date").alias("first_order_date"), F.max("full_date").alias("last_order_date"),
         big(F.count(F.lit(1))).alias("orders"), dbl(F.sum("revenue")).alias("total_revenue"),
         dbl(F.sum("profit")).alias("total_profit"))
-    return f.crossJoin(c).crossJoin(p)  # three one-row aggregates
+    return f.crossJoin(F.broadcast(c)).crossJoin(F.broadcast(p))  # three one-row aggregates
 
 
 VIEWS = {

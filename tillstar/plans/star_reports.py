@@ -49,10 +49,9 @@ def dim_payment_method(wh):
 
 
 def surrogate_keys(wh: Warehouse) -> DataFrame:
-    """DIM-7 dense 1..n key over every cleaned order, numbered by the
-    distributed (range-partitioned) path regardless of size."""
+    """DIM-7 dense 1..n key over every cleaned order."""
     k = ordered_stats(wh.clean.select("order_id"), OrderSpec([("order_id", False)]), row_number="surrogate_key",
-                      expected_rows=None)
+                      expected_rows=wh.counts["clean"])
     return k.select(big("order_id").alias("order_id"), "surrogate_key")
 
 
@@ -81,7 +80,7 @@ def read_sales_csv_report(wh: Warehouse) -> DataFrame:
     spark = wh.spark
     p = scratch_path(spark, "raw_sales_csv")
     wh.raw_lines().select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).csv(p)
-    return normalized(readers.read_sales_csv(spark, p))
+    return normalized(readers.read_sales_csv(spark, p).select(*RAW_COLUMNS))
 
 
 def read_clean_report(wh: Warehouse) -> DataFrame:
@@ -132,26 +131,36 @@ def load_warehouse_report(wh: Warehouse) -> DataFrame:
     return out
 
 
+def _row_counts(tables: dict) -> DataFrame:
+    """table_name, row_count of each table, one aggregate per table."""
+    out = None
+    for name, df in tables.items():
+        part = df.agg(big(F.count(F.lit(1))).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def idempotent_replace_report(wh: Warehouse) -> DataFrame:
-    """SNK-3: replacing the country dimension twice leaves one copy."""
-    p = scratch_path(wh.spark, "dim_country")
-    sinks.idempotent_replace(wh.dim_country, p, "dim_country_replaced")
-    out = sinks.idempotent_replace(wh.dim_country, p, "dim_country_replaced")
-    return normalized(out)
+    """SNK-3: replacing every star table twice leaves one copy of each."""
+    base = scratch_path(wh.spark, "replaced")
+    for _ in range(2):
+        kept = {name: sinks.idempotent_replace(df, f"{base}/{name}", f"{name}_replaced")
+                for name, df in wh.tables().items()}
+    return _row_counts(kept)
 
 
 def insert_select_report(wh: Warehouse) -> DataFrame:
-    """SNK-4: a catalog table loaded by INSERT ... SELECT, read back."""
-    spark = wh.spark
-    p = scratch_path(spark, "dim_traffic_source_tbl")
-    name = "tillstar_" + p.rsplit("-", 1)[-1]
-    return normalized(sinks.insert_select(spark, wh.dim_traffic_source, name, p))
+    """SNK-4: catalog tables of the six dimensions and the fact, each loaded by
+    INSERT ... SELECT and read back."""
+    spark, base = wh.spark, scratch_path(wh.spark, "inserted")
+    tag = base.rsplit("-", 1)[-1]
+    return _row_counts({name: sinks.insert_select(spark, df, f"{name}_{tag}", f"{base}/{name}")
+                        for name, df in wh.tables().items()})
 
 
 def register_views_report(wh: Warehouse) -> DataFrame:
-    """SNK-5: after registration the views answer plain SQL."""
-    sinks.register_views(wh.spark, wh)
-    return wh.spark.sql("SELECT * FROM kpi_monthly_revenue")
+    """SNK-5: after registration every star table and view answers plain SQL."""
+    return _row_counts({name: wh.spark.sql(f"SELECT * FROM {name}") for name in sinks.register_views(wh.spark, wh)})
 
 
 VIEWS = {
@@ -184,7 +193,7 @@ def stream_ingest_report(wh: Warehouse) -> DataFrame:
     from tillstar.streaming.ingest import start_raw_ingest
     spark = wh.spark
     src = scratch_path(spark, "landing")
-    wh.raw_lines().select(*RAW_COLUMNS).repartition(4).write.option("header", True).csv(src)
+    wh.raw_lines().select(*RAW_COLUMNS).write.option("header", True).csv(src)
     tgt, ck = scratch_path(spark, "raw_stream"), scratch_path(spark, "raw_stream_ckpt")
     start_raw_ingest(spark, src, tgt, ck).awaitTermination()
     return normalized(spark.read.parquet(tgt).drop("_ingested_at", "batch_id"))

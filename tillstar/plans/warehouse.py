@@ -22,8 +22,7 @@ from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import ratio
 from tillstar.operators.dedup import dedup_keep_first
-from tillstar.operators.ranking import (SINGLE_TASK_MAX_ROWS, SINGLE_TASK_MAX_ROWS_KEY, OrderSpec,
-                                        ordered_stats)
+from tillstar.operators.ranking import OrderSpec, ordered_stats
 from tillstar.schemas import RAW_COLUMNS
 from tillstar.session import conf_int
 
@@ -55,6 +54,7 @@ class Warehouse:
     fact: DataFrame
     counts: dict = field(default_factory=dict)
     raw: DataFrame | None = None
+    quarantined: DataFrame | None = None
     _memo: dict = field(default_factory=dict, repr=False)
 
     def memo(self, name: str, build) -> DataFrame:
@@ -127,9 +127,8 @@ def date_bounds(clean: DataFrame) -> tuple:
     """Default spine: Jan 1 of the first order year .. Dec 31 of the last."""
     row = clean.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
-    if lo is None:
-        today = _dt.date.today()
-        return _dt.date(today.year, 1, 1), _dt.date(today.year, 12, 31)
+    if lo is None:       # no order, no day
+        return _dt.date(1970, 1, 1), _dt.date(1969, 12, 31)
     return _dt.date(lo.year, 1, 1), _dt.date(hi.year, 12, 31)
 
 
@@ -256,6 +255,31 @@ FACT_COLUMNS = ["sales_key", "order_id", "date_key", "customer_key", "product_ke
                 "profit", "gross_revenue", "profit_margin_pct", "rating", "is_returned"]
 
 
+# What a sales row must have to find its dimension members.
+NATURAL_KEYS = ["order_id", "order_date", "customer_id", "product_id", "product_category", "customer_country",
+                "traffic_source", "payment_method"]
+
+
+def missing_keys(df: DataFrame) -> DataFrame:
+    """Adds ``missing``: the natural keys that the row lacks, as one text;
+    null if it has all."""
+    lacks = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in NATURAL_KEYS])
+    return df.withColumn("missing", F.nullif(lacks, F.lit("")))
+
+
+def split_by_keys(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that can be loaded, quarantined rows with what they lack)."""
+    marked = missing_keys(clean)
+    return marked.filter("missing IS NULL").drop("missing"), marked.filter("missing IS NOT NULL")
+
+
+def load_audit(clean: DataFrame) -> DataFrame:
+    """outcome, missing, row_count: where the cleaned rows went."""
+    return (missing_keys(clean).groupBy("missing").agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.when(F.col("missing").isNull(), "loaded").otherwise("quarantined").alias("outcome"),
+                    "missing", "row_count"))
+
+
 def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
                expected_rows: int | None) -> DataFrame:
     limit = conf_int(spark, BROADCAST_MAX_ROWS_KEY, BROADCAST_MAX_ROWS)
@@ -286,14 +310,10 @@ def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
         F.round(F.col("profit") / F.nullif(F.col("revenue"), F.lit(0)), 4).cast("decimal(7,4)")
          .alias("profit_margin_pct"),
         "rating", "is_returned")
-    keyed = ordered_stats(f, OrderSpec(keys=[("order_id", False)]), row_number="sales_key",
-                          expected_rows=expected_rows)
-    if expected_rows is not None and expected_rows <= conf_int(spark, SINGLE_TASK_MAX_ROWS_KEY,
-                                                               SINGLE_TASK_MAX_ROWS):
-        # the single-task numbering leaves one partition; spread the (bounded)
-        # result so the persisted fact is scanned by every core.  Above the
-        # threshold the range-partitioned numbering is already spread.
-        keyed = keyed.repartition(spark.sparkContext.defaultParallelism)
+    # only the order ids are numbered; the wide rows meet their key in a join
+    keys = ordered_stats(clean.select("order_id"), OrderSpec(keys=[("order_id", False)]), row_number="sales_key",
+                         expected_rows=expected_rows)
+    keyed = f.join(keys, "order_id")
     return keyed.select(*FACT_COLUMNS, F.current_timestamp().alias("_loaded_at"))
 
 
@@ -313,11 +333,15 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
         t0[0] = now
     # The raw lines are read once here to build the cleaned orders; the
     # profiling / quality reports cache them on first use (raw_lines()).
-    clean = clean_orders(raw).persist(level)
-    # one job: the row count and the date bounds of the spine
-    row = clean.agg(F.count(F.lit(1)).alias("n"), F.min("order_date").alias("lo"),
-                    F.max("order_date").alias("hi")).first()
-    counts = {"clean": row["n"]}
+    every = clean_orders(raw).persist(level)
+    clean, quarantined = split_by_keys(every)
+    # one job: the row counts and the date bounds of the spine
+    whole = missing_keys(every)
+    ok = F.col("missing").isNull()
+    row = whole.agg(F.count(F.when(ok, 1)).alias("n"), F.count(F.when(~ok, 1)).alias("bad"),
+                    F.min(F.when(ok, F.col("order_date"))).alias("lo"),
+                    F.max(F.when(ok, F.col("order_date"))).alias("hi")).first()
+    counts = {"clean": row["n"], "quarantined": row["bad"]}
     lap("stage_dedup_clean")
     if start is None or end is None:
         if row["lo"] is None:
@@ -355,6 +379,8 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
         counts[name] = counts["_combos"]  # upper bound of the distinct values
     fact = build_fact(clean, dims, counts, spark, counts["clean"]).persist(level)
     counts["fact_sales"] = fact.count()
+    if counts["fact_sales"] != counts["clean"]:
+        raise ValueError(f"{counts['clean']} rows to load, {counts['fact_sales']} loaded")
     lap("fact_and_dims")
     for name in ("dim_country", "dim_traffic_source", "dim_payment_method"):
         counts[name] = dims[name].count()  # exact, from the cache just filled
@@ -363,7 +389,8 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
     pprof.unpersist()
     lap("finish")
     counts["_build_phases"] = phases
-    return Warehouse(spark=spark, clean=clean, dim_date=dim_date, fact=fact, counts=counts, raw=raw, **dims)
+    return Warehouse(spark=spark, clean=clean, dim_date=dim_date, fact=fact, counts=counts, raw=raw,
+                     quarantined=quarantined, **dims)
 
 
 _CACHE: dict = {}

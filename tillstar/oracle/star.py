@@ -83,6 +83,9 @@ JOIN dim_payment_method dpm ON fs.payment_method_key = dpm.payment_method_key"""
 _COUNTS = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, {big('count(*)')} AS row_count FROM {t}" for t in _TABLES)
 _VIEW_COUNTS = "\nUNION ALL ".join(f"SELECT '{name}' AS table_name, {big('count(*)')} AS row_count FROM ({sql})"
                                    for name, sql in {**KPI, **CUSTOMER, **MARKETING}.items())
+SQL["stored_customers"] = q(SCORED + f"""
+SELECT customer_segment, {big("count(*)")} AS customers, CAST(sum(monetary) AS DOUBLE) AS total_revenue
+FROM segmented GROUP BY customer_segment""")
 SQL["idempotent_replace"] = q(_COUNTS)
 SQL["insert_select"] = q(_COUNTS)
 SQL["register_views"] = q(_COUNTS + "\nUNION ALL " + _VIEW_COUNTS)

@@ -169,10 +169,11 @@ def _build_cohort_counts(wh: Warehouse) -> DataFrame:
     Orders are first reduced to distinct (customer, month) pairs (a partial
     aggregate before the shuffle), then joined to the customer's cohort at
     customer grain; the pair count is the distinct-customer count."""
-    pairs = wh.clean.select("customer_id", cal.month_start(F.col("order_date")).alias("order_month")).distinct()
-    cohorts = wh.dim_customer.select("customer_id", cal.month_start(F.col("first_order_date")).alias("cohort_month"))
+    month = cal.month_start(cal.key_to_date(F.col("date_key")))
+    pairs = wh.fact.select("customer_key", month.alias("order_month")).distinct()
+    cohorts = wh.dim_customer.select("customer_key", cal.month_start(F.col("first_order_date")).alias("cohort_month"))
     cohorts = F.broadcast(cohorts) if wh.can_broadcast("dim_customer") else cohorts
-    return (pairs.join(cohorts, "customer_id")
+    return (pairs.join(cohorts, "customer_key")
                  .groupBy("cohort_month", "order_month").agg(F.count(F.lit(1)).alias("customers"))
                  .withColumn("period_number", cal.months_between_starts(F.col("order_month"), F.col("cohort_month"))))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import (avg_of, big, margin_pct, money, orders_count, pct, ratio,
                                         return_rate_pct)
@@ -77,10 +78,9 @@ def mkt_channel_new_vs_returning(wh: Warehouse) -> DataFrame:
     """An order is "new" when it falls on the customer's first order date
     (all orders of that first day count as new).  The first date comes from
     the customer dimension (a per-customer join, not a window over orders)."""
-    first = wh.dim_customer.select("customer_id", "first_order_date")
-    first = F.broadcast(first) if wh.can_broadcast("dim_customer") else first
-    o = wh.clean.select("order_id", "customer_id", "order_date", "traffic_source", "revenue", "profit") \
-        .join(first, "customer_id")
+    o = wh.with_dims(wh.fact.select("date_key", "customer_key", "traffic_source_key", "revenue", "profit"),
+                     customer=["customer_id", "first_order_date"], traffic_source=["traffic_source"])
+    o = o.withColumn("order_date", cal.key_to_date(F.col("date_key")))
     o = o.withColumn("customer_type", F.when(F.col("order_date") == F.col("first_order_date"), mp.NEW_CUSTOMER)
                      .otherwise(mp.RETURNING_CUSTOMER))
     g = o.groupBy("traffic_source", "customer_type").agg(

@@ -12,7 +12,7 @@ from tillstar.functions.metrics import big
 from tillstar.operators.quality import derive_date_parts
 from tillstar.operators.ranking import OrderSpec, ordered_stats
 from tillstar.plans.quality_reports import normalized
-from tillstar.plans.warehouse import Warehouse, date_bounds, date_spine, enriched
+from tillstar.plans.warehouse import Warehouse, date_bounds, date_spine, enriched, open_warehouse
 from tillstar.schemas import RAW_COLUMNS
 from tillstar.session import scratch_path
 from tillstar.sources import readers, sinks
@@ -55,14 +55,24 @@ def surrogate_keys(wh: Warehouse) -> DataFrame:
     return k.select(big("order_id").alias("order_id"), "surrogate_key")
 
 
-def customer_segment_backfill(wh: Warehouse) -> DataFrame:
-    """DIM-8 fill dim_customer.customer_segment from the RFM segments (SCD-1
-    overwrite; customers without a segment keep their value)."""
+def segmented_customers(wh: Warehouse) -> DataFrame:
+    """dim_customer with the RFM segment of every customer that has one."""
     from tillstar.plans.customer import rfm_segments_df
     seg = rfm_segments_df(wh).select("customer_id", F.col("customer_segment").alias("_seg"))
     d = wh.dim_customer.join(seg, "customer_id", "left")
-    return d.select(big("customer_key").alias("customer_key"), big("customer_id").alias("customer_id"),
-                    F.coalesce("_seg", "customer_segment").alias("customer_segment"))
+    return d.withColumn("customer_segment", F.coalesce("_seg", "customer_segment")).select(*wh.dim_customer.columns)
+
+
+def stored_tables(wh: Warehouse) -> dict:
+    """The star as it is stored: customers carry their segment."""
+    return wh.tables() | {"dim_customer": segmented_customers(wh)}
+
+
+def customer_segment_backfill(wh: Warehouse) -> DataFrame:
+    """DIM-8 fill dim_customer.customer_segment from the RFM segments (SCD-1
+    overwrite; customers without a segment keep their value)."""
+    return segmented_customers(wh).select(big("customer_key").alias("customer_key"),
+                                          big("customer_id").alias("customer_id"), "customer_segment")
 
 
 def fact_sales(wh):
@@ -110,7 +120,7 @@ def write_clean_report(wh: Warehouse) -> DataFrame:
 
 def _written_star(wh: Warehouse) -> dict:
     base = scratch_path(wh.spark, "warehouse")
-    sinks.write_warehouse(wh.tables(), base)
+    sinks.write_warehouse(stored_tables(wh), base)
     return readers.load_warehouse(wh.spark, base)
 
 
@@ -122,13 +132,17 @@ def write_warehouse_report(wh: Warehouse) -> DataFrame:
 
 def load_warehouse_report(wh: Warehouse) -> DataFrame:
     """SRC-3: all seven tables loaded from the written star, with row counts."""
-    t = _written_star(wh)
-    parts = [df.agg(big(F.count(F.lit(1))).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-             for n, df in t.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _row_counts(_written_star(wh))
+
+
+def stored_customers_report(wh: Warehouse) -> DataFrame:
+    """The customer dimension read back from a star stored as CSV: customers
+    by segment."""
+    base = scratch_path(wh.spark, "warehouse_csv")
+    sinks.write_warehouse(stored_tables(wh), base, "csv")
+    stored = open_warehouse(wh.spark, base, "csv")
+    return stored.dim_customer.groupBy("customer_segment").agg(
+        big(F.count(F.lit(1))).alias("customers"), F.sum("total_revenue").cast("double").alias("total_revenue"))
 
 
 def _row_counts(tables: dict) -> DataFrame:
@@ -177,6 +191,7 @@ VIEWS = {
     "read_sales_csv": read_sales_csv_report,
     "read_clean": read_clean_report,
     "load_warehouse": load_warehouse_report,
+    "stored_customers": stored_customers_report,
     "raw_schema": raw_schema_report,
     "date_spine": date_spine_report,
     "write_clean": write_clean_report,

@@ -44,7 +44,7 @@ DIM_KEYS = {
 @dataclass
 class Warehouse:
     spark: SparkSession
-    clean: DataFrame
+    clean: DataFrame | None
     dim_date: DataFrame
     dim_customer: DataFrame
     dim_product: DataFrame
@@ -393,6 +393,17 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
                      quarantined=quarantined, **dims)
 
 
+def open_warehouse(spark: SparkSession, base: str, fmt: str = "parquet") -> Warehouse:
+    """A star written by ``write_warehouse``, ready for every report that reads
+    the star (not for the reports on raw or cleaned lines)."""
+    from tillstar.sources.readers import load_warehouse
+    level = StorageLevel.MEMORY_AND_DISK_DESER
+    tables = {n: df.persist(level) for n, df in load_warehouse(spark, base, fmt).items()}
+    fact = tables.pop("fact_sales")
+    counts = {n: df.count() for n, df in {**tables, "fact_sales": fact}.items()}
+    return Warehouse(spark=spark, clean=None, fact=fact.select(*FACT_COLUMNS, "_loaded_at"), counts=counts, **tables)
+
+
 _CACHE: dict = {}
 
 

@@ -7,10 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.schemas import DEFAULT_SOURCE, INGEST_SEQ, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES
+from tillstar.schemas import DEFAULT_SOURCE, INGEST_SEQ, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES, STAR_SCHEMAS
 
-STAR_TABLES = ["fact_sales", "dim_date", "dim_customer", "dim_product", "dim_country",
-               "dim_traffic_source", "dim_payment_method"]
+STAR_TABLES = list(STAR_SCHEMAS)
 
 
 CORRUPT = "_corrupt_record"
@@ -64,9 +63,11 @@ def read_clean(spark: SparkSession, path: str, fmt: str = "csv", with_date_parts
     return spark.read.schema(schema).parquet(path)
 
 
-def load_warehouse(spark: SparkSession, base: str) -> dict:
-    """SRC-3 the seven star tables written by ``write_warehouse``."""
-    return {t: spark.read.parquet(f"{base.rstrip('/')}/{t}") for t in STAR_TABLES}
+def load_warehouse(spark: SparkSession, base: str, fmt: str = "parquet") -> dict:
+    """SRC-3 the seven star tables written by ``write_warehouse``, as parquet
+    or header CSV, each with its stated schema."""
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    return {t: reader.schema(STAR_SCHEMAS[t]).format(fmt).load(f"{base.rstrip('/')}/{t}") for t in STAR_TABLES}
 
 
 def raw_schema(df: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:

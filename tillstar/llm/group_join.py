@@ -4,9 +4,10 @@ Documents are sets of hashed word 5-grams.  Equal sets form a class (its key
 is a 64-bit hash of the set), and all further work is on classes:
 
 1. Prefix: of two sets with Jaccard similarity t or more, the first
-   ``n - ceil(t n) + 1`` tokens of each, in any one order of tokens, share a
-   token.  Prefix tokens held by one class only are dropped; the classes left
-   are the active ones, and only their whole sets are kept.
+   ``n - ceil(t n) + 1 + e`` tokens of each, in any one order of tokens, share
+   at least 1 + e tokens (e is a twelfth of the smaller set).  Prefix tokens
+   held by one class only are dropped; classes left with too few are done, the
+   others are active, and only their whole sets are kept.
 2. Groups of similar sets: every active class is compared with the pivot (most
    copies) of the classes that share its rarest, first or last bridging token.
    Connected classes make a group, cut into blocks of ``BLOCK`` members.
@@ -48,44 +49,51 @@ BLOCK = 64
 COMMON = 16
 MOST_ROUNDS = 6
 SEEN = 200_000
+# Queries that meet a block in one task, and matches counted at once there.
+SLICE = 2_000
+HITS = 4_000_000
+
+
+def spare(n: int) -> int:
+    """Tokens that a prefix has beyond the shortest that guarantees one."""
+    return n // 12
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return n - (percent * n + 99) // 100 + 1 + spare(n)
 
 
-def _sets(batches, whole: bool, percent: int):
-    """Per row: id, set size, class key and its prefix or whole set, sorted.
-    A task gives the prefix of a class once."""
+def _sets(batches, part: str, percent: int):
+    """Per row: id, set size, class key, and the set's tokens in order: none,
+    all of them, or the prefix (which a task gives once for a class)."""
     hasher, seen = WordHasher(), set()
     for b in batches:
-        ids, n, keys, tokens = b.column(0), [], [], []
+        n, keys, tokens = [], [], []
         for text in b.column(1).to_pylist():
             s = np.unique(shingle_sequence(hasher(ascii_words(text))).view(np.int64))
             key = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
             n.append(len(s))
             keys.append(key if len(s) else None)
-            if whole:
-                tokens.append(s)
-            elif len(s) == 0 or key in seen:
-                tokens.append(s[:0])
-            else:
+            if part == "prefix" and len(s) and key not in seen:
                 seen.add(key)
                 tokens.append(s[:prefix_length(len(s), percent)])
+            else:
+                tokens.append(s if part == "whole" else s[:0])
         if len(seen) > SEEN:
             seen.clear()
-        flat = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
         ends = np.cumsum([0] + [len(t) for t in tokens])
+        flat = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
+            [b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
             ["id", "n", "c", "tokens"])
 
 
-def shingle_sets(docs: DataFrame, whole: bool = False, percent: int = PERCENT) -> DataFrame:
-    """id, n, c, tokens from rows (id, text)."""
+def shingle_sets(docs: DataFrame, part: str, percent: int = PERCENT) -> DataFrame:
+    """id, n, c, tokens from rows (id, text); ``part`` of the tokens is
+    "none", "prefix" or "whole"."""
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(lambda bs: _sets(bs, whole, percent),
+    return docs.select("id", "text").mapInArrow(lambda bs: _sets(bs, part, percent),
                                                 f"id {kind}, n bigint, c bigint, tokens array<bigint>")
 
 
@@ -93,34 +101,87 @@ def _linked(inter: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * inter >= percent * (n + m - inter)
 
 
-def _least_shared(n: Column, m: Column, percent: int) -> Column:
-    """Tokens that the prefixes of linked sets of sizes n and m share at least."""
+def _spare(n: Column) -> Column:
+    return F.floor(n / 12)
+
+
+def _least_own(n: Column, percent: int) -> Column:
+    """Tokens of a prefix that it shares with the prefix of any linked set."""
+    return 1 + _spare(F.ceil(F.lit(percent) * n / 100))
+
+
+def _least_shared(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """Tokens that the prefixes of linked sets share at least, one of size n
+    and one of a size from low to high (one less, for the rounding between)."""
     t = F.lit(percent)
-    overlap = F.ceil(t * (n + m) / F.lit(100 + percent))
-    return overlap - F.ceil(t * F.greatest(n, m) / 100) + 1
+
+    def reach(x, y):
+        return F.ceil(t * (n + y) / F.lit(100 + percent)) - F.ceil(t * x / 100) + _spare(x)
+    return F.least(reach(n, low), reach(high, high))
 
 
 def _verify_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked."""
+    """The pairs (a, b) of classes that are linked; ``pairs`` is a written table."""
     left = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
+    right = right.join(small_side(shared_table(pairs.select("b").distinct(), "jaccard-pivots")), "b", "left_semi")
+    both = left.join(small_side(pairs), "a").join(right, "b")
     return both.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & _linked(
         F.size(F.array_intersect("ta", "tb")), F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
+def _compare(block: pa.Table, asked: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) between the classes that ask and the members of a block:
+    the matrix of the block's tokens and their holders, against each query's
+    tokens.  One link to a group is enough."""
+    member, n, label = (block.column(x).to_numpy() for x in ("c", "n", "label"))
+    held = block.column("tokens").combine_chunks()
+    tokens, ends = held.flatten().to_numpy(), np.diff(held.offsets.to_numpy())
+    order = np.argsort(tokens, kind="stable")
+    holder = np.repeat(np.arange(len(member)), ends)[order]
+    token, start, count = np.unique(tokens[order], return_index=True, return_counts=True)
+    who, size, group = (asked.column(x).to_numpy() for x in ("a", "na", "la"))
+    given = asked.column("ta").combine_chunks()
+    values, offsets = given.flatten().to_numpy(), given.offsets.to_numpy() - given.offsets[0].as_py()
+    left, right = [], []
+    step = max(1, HITS // max(1, int(np.diff(offsets).max(initial=1)) * len(member)))
+    for k in range(0, len(who), step):
+        m = min(k + step, len(who))
+        part = values[offsets[k]:offsets[m]]
+        row = np.repeat(np.arange(m - k), np.diff(offsets[k:m + 1]))
+        at = np.minimum(np.searchsorted(token, part), len(token) - 1)
+        hit = np.flatnonzero(token[at] == part)
+        at, row = at[hit], row[hit]
+        times = count[at]
+        spot = np.repeat(start[at] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
+        both = np.bincount(np.repeat(row, times) * len(member) + holder[spot],
+                           minlength=(m - k) * len(member)).reshape(m - k, len(member))
+        union = size[k:m, None] + n[None, :] - both
+        i, j = np.nonzero((100 * both >= percent * union) & (group[k:m, None] != label[None, :]))
+        _, one = np.unique(np.stack([i, label[j]]), axis=1, return_index=True)
+        left.append(who[k + i[one]])
+        right.append(member[j[one]])
+    return pa.table({"a": pa.array(np.concatenate(left), pa.int64()), "b": pa.array(np.concatenate(right), pa.int64())})
+
+
 def _open_blocks(queries: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the class and the members of the block in each row of
-    ``queries`` (a, g); ``blocks`` (g, c)."""
-    member = F.struct(F.col("c"), F.col("n"), F.col("tokens"))
-    packed = blocks.join(queries.select("g").distinct(), "g", "left_semi") \
-                   .join(sets, "c").groupBy("g").agg(F.collect_list(member).alias("members"))  # BLOCK at most
-    asked = queries.join(sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
-    near = F.filter("members", lambda m: (m["c"] != F.col("a"))
-                    & (100 * F.least(m["n"], F.col("na")) >= percent * F.greatest(m["n"], F.col("na")))
-                    & _linked(F.size(F.array_intersect(F.col("ta"), m["tokens"])), F.col("na"), m["n"], percent))
-    return (asked.join(packed, "g").select("a", F.transform(near, lambda m: m["c"]).alias("found"))
-                 .filter(F.size("found") > 0).select("a", F.explode("found").alias("b")))
+    """Links between the classes of ``queries`` (a, la, g), a written table,
+    and members of other labels in their block; ``blocks`` (g, c, label).
+
+    A block that many ask is compared in slices of them, so a task holds one
+    block and SLICE queries at most."""
+    per = queries.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
+    per = shared_table(per, "jaccard-asked")
+    asked = shared_table(queries.join(per, "g").select(
+        "a", "la", "g", F.pmod(F.xxhash64("a"), F.col("slices")).alias("slice")), "jaccard-slices")
+    opened = shared_table(blocks.join(per, "g").select(
+        "c", "label", "g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice")),
+        "jaccard-opened")
+    members = sets.join(small_side(opened), "c")
+    asking = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")) \
+        .join(small_side(asked), "a")
+    return members.groupBy("g", "slice").cogroup(asking.groupBy("g", "slice")).applyInArrow(
+        lambda left, right: _compare(left, right, percent), "a bigint, b bigint")
 
 
 def _blocks(labels: DataFrame) -> DataFrame:
@@ -154,24 +215,25 @@ def _pair_round(posts: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     hits = asked.join(union, "token").filter(
         (F.col("label") < F.col("glabel")) & (100 * F.col("hi") >= percent * F.col("na"))
         & (percent * F.col("lo") <= 100 * F.col("na")))
-    hits = hits.groupBy("a", "g", "na").agg(F.count(F.lit(1)).alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    hits = hits.groupBy("a", "label", "g", "na").agg(F.count(F.lit(1)).alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     low = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("na") / 100))
     high = F.least(F.col("hi"), F.floor(100 * F.col("na") / percent))
     # lo and hi cover the block's holders of shared tokens, which are all that can link
-    bound = F.least(_least_shared(F.col("na"), low, percent), _least_shared(F.col("na"), high, percent))
-    queries = hits.join(shy, "a", "left").filter(F.col("k") + F.coalesce("shy", F.lit(0)) >= bound).select("a", "g")
-    links = _open_blocks(shared_table(queries, "jaccard-queries"), labels.select("g", "c"), sets, percent)
+    bound = _least_shared(F.col("na"), low, high, percent)
+    queries = hits.join(shy, "a", "left").filter(F.col("k") + F.coalesce("shy", F.lit(0)) >= bound) \
+                  .select("a", F.col("label").alias("la"), "g")
+    links = _open_blocks(shared_table(queries, "jaccard-queries"), labels.select("g", "c", "label"), sets, percent)
     return shared_table(links, "jaccard-links"), held, common
 
 
 def _new_prefixes(holders: DataFrame, common: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """token, c, forced: prefixes of the holders in the order that puts the
     common tokens last; forced tokens are common ones that it must hold."""
-    own = sets.join(holders, "c", "left_semi")
+    own = sets.join(small_side(holders), "c", "left_semi")
     stops = (own.select("c", F.explode("tokens").alias("token")).join(common, "token")
                 .groupBy("c").agg(F.collect_list("token").alias("stops")))
     free = F.array_except("tokens", "stops")
-    p = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
+    p = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 + _spare(F.col("n"))).cast("int")
     rows = own.join(stops, "c").select("c", p.alias("p"), free.alias("free"), F.array_sort("stops").alias("stops"))
     rows = rows.select("c", F.slice("free", 1, F.col("p")).alias("first"),
                        F.slice("stops", 1, F.greatest(F.col("p") - F.size("free"), F.lit(0))).alias("forced"))
@@ -187,37 +249,46 @@ def _saturated(forced: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     token = F.xxhash64("token", F.lit("token"))
     reach = components(forced.select(token.alias("a"), F.col("c").alias("b"))) \
         .withColumnRenamed("node", "c").withColumnRenamed("label", "reach")
-    of = labels.select("c", "n", "label").join(reach, "c")
-    blocks = shared_table(_blocks(of.select("c", "n", F.col("reach").alias("label"))), "jaccard-blocks")
-    ranges = blocks.groupBy("label", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    queries = of.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("reach").alias("label")) \
-        .join(ranges, "label").filter((100 * F.col("hi") >= percent * F.col("na"))
-                                      & (percent * F.col("lo") <= 100 * F.col("na"))).select("a", "g")
-    return _open_blocks(queries, blocks.select("g", "c"), sets, percent)
+    of = shared_table(labels.select("c", "n", "label").join(reach, "c"), "jaccard-reach")
+    blocks = _blocks(of.select("c", "n", F.col("reach").alias("label"))).withColumnRenamed("label", "reach")
+    blocks = shared_table(blocks.join(of.select("c", "label"), "c"), "jaccard-blocks")
+    ranges = blocks.groupBy("reach", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    queries = of.select(F.col("c").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), "reach") \
+        .join(ranges, "reach").filter((100 * F.col("hi") >= percent * F.col("na"))
+                                      & (percent * F.col("lo") <= 100 * F.col("na"))).select("a", "la", "g")
+    return _open_blocks(shared_table(queries, "jaccard-queries"), blocks.select("g", "c", "label"), sets, percent)
 
 
 def class_links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """a, b: links that connect all classes with a chain of links between them.
 
-    ``docs`` (id, text); ``classes`` (c, rep, copies) with a document of each;
-    ``prefixes`` (c, tokens)."""
+    ``docs`` (id, text); ``classes`` (c, n, rep, copies) with a document of
+    each; ``prefixes`` (c, tokens)."""
     by_token = Window.partitionBy("token")
-    bridge = prefixes.select("c", F.explode("tokens").alias("token")) \
-        .select("c", "token", F.min("c").over(by_token).alias("x"), F.max("c").over(by_token).alias("y"),
-                F.count(F.lit(1)).over(by_token).alias("df")) \
-        .filter("x != y").select("c", "token", "df").distinct()
-    bridge = shared_table(bridge, "jaccard-bridge")
+    shared = [F.min("c").over(by_token).alias("x"), F.max("c").over(by_token).alias("y"),
+              F.count(F.lit(1)).over(by_token).alias("df")]
+    def of_several(posts):
+        return posts.select("c", "token", *shared).filter("x != y").select("c", "token", "df")
+
+    bridge = shared_table(of_several(prefixes.select("c", F.explode("tokens").alias("token"))).distinct(),
+                          "jaccard-bridge")
+    # copies of a class in several tasks count once from here on; with fewer
+    # classes fewer tokens are shared, so a second pass drops more
+    for k in range(2):
+        counts = bridge.select("c", "token").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("k"))
+        alive = classes.join(counts, "c").filter(F.col("k") >= _least_own(F.col("n"), percent)).select("c")
+        bridge = shared_table(of_several(bridge.select("c", "token").distinct().join(alive, "c")), "jaccard-bridge")
     keys = bridge.groupBy("c").agg(F.min(F.struct("df", "token")).alias("rare"),
                                    F.min("token").alias("first"), F.max("token").alias("last"))
-    active = classes.join(keys, "c")
-    own = docs.join(active.select(F.col("rep").alias("id")), "id").dropDuplicates(["id"])
-    sets = shared_table(shingle_sets(own, whole=True, percent=percent).select("c", "n", "tokens")
-                        .dropDuplicates(["c"]), "jaccard-sets")
+    active = shared_table(classes.join(keys, "c"), "jaccard-active")
+    reps = shared_table(active.select(F.col("rep").alias("id")).distinct(), "jaccard-reps")
+    sets = shared_table(shingle_sets(docs.join(small_side(reps), "id"), "whole", percent)
+                        .select("c", "n", "tokens").dropDuplicates(["c"]), "jaccard-sets")
 
     asked = active.select("c", "copies", F.explode(F.array_distinct(F.array("rare.token", "first", "last"))).alias("token"))
     pivots = asked.groupBy("token").agg(F.max(F.struct("copies", "c")).getField("c").alias("b"))
     pairs = asked.select(F.col("c").alias("a"), "token").join(pivots, "token").filter("a != b").select("a", "b").distinct()
-    links = shared_table(_verify_pairs(pairs, sets, percent), "jaccard-links")
+    links = shared_table(_verify_pairs(shared_table(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
     known = components(links).withColumnRenamed("node", "c")
     labels = sets.select("c", "n").join(known, "c", "left").withColumn("label", F.coalesce("label", "c"))
     labels = shared_table(_blocks(labels), "jaccard-labels")
@@ -230,7 +301,7 @@ def class_links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, percen
             break
         every_common = common if every_common is None else \
             shared_table(every_common.unionByName(common).distinct(), "jaccard-common")
-        holders = held.join(common, "token").select("c").distinct()
+        holders = shared_table(held.join(common, "token").select("c").distinct(), "jaccard-holders")
         fresh = shared_table(_new_prefixes(holders, every_common, sets, percent), "jaccard-prefixes")
         forced = fresh.filter("forced")
         if forced.take(1):
@@ -242,11 +313,12 @@ def class_links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, percen
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     docs = docs.select(F.col(id_col).alias("id"), "text")
-    found = shared_table(shingle_sets(docs, percent=percent), "jaccard-documents")
+    found = shared_table(shingle_sets(docs, "none", percent).select("id", "n", "c"), "jaccard-documents")
     with_set = found.filter(F.col("c").isNotNull() & F.col("id").isNotNull())
-    classes = shared_table(with_set.groupBy("c").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-                           "jaccard-classes")
-    links = class_links(docs, classes, found.filter(F.size("tokens") > 0).select("c", "tokens"), percent)
+    classes = shared_table(with_set.groupBy("c").agg(
+        F.first("n").alias("n"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "jaccard-classes")
+    prefixes = shingle_sets(docs.filter(F.col("id").isNotNull()), "prefix", percent).select("c", "tokens")
+    links = class_links(docs, classes, prefixes, percent)
     label = components(links).withColumnRenamed("node", "c")
     labelled = classes.join(label, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component"))

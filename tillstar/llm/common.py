@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -22,11 +23,30 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def shared_table(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``shared_table`` writes inside are deleted at the end, but
+    for those with ``keep``.  What leaves the block must not depend on them."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCRATCH.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def shared_table(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later jobs start from
     the files, also after executors are lost."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     schema = df.schema
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -80,7 +100,7 @@ BROADCAST_BYTES = 16 << 20
 def small_side(table: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """A written table of fixed-width columns as one side of a join: broadcast
     if its counted rows stay below ``most`` bytes, else shuffled."""
-    return F.broadcast(table) if table.count() * 16 * len(table.columns) <= most else table
+    return F.broadcast(table) if table.count() * 8 * len(table.columns) <= most else table
 
 
 class _Memo(dict):

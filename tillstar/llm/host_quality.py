@@ -110,21 +110,30 @@ def host_verdicts(ruled: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
                          (rate >= host_rate).alias("host_flagged")))
 
 
-def host_quality(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE, keep: tuple = ()) -> DataFrame:
-    """Counts, rule results and verdict (``kept``) for every document, with
-    the columns named in ``keep``."""
-    counts = shared_table(document_counts(docs, host, keep), "quality-counts")
+def host_quality(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+    """Counts, rule results and verdict (``kept``) for every document."""
+    counts = shared_table(document_counts(docs, host), "quality-counts")
     ruled = apply_rules(counts)
     hosts = host_verdicts(ruled, host_rate).withColumnRenamed("host", "h_host")
     kept = ~F.col("base_failed") & ~F.col("severe") & (~F.col("any_failed") | ~F.col("host_flagged"))
     return (ruled.join(hosts, F.col("host").eqNullSafe(F.col("h_host")))
                  .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", kept.alias("kept"), "host", "host_rate", "host_flagged", *keep))
+                         "base_failed", kept.alias("kept"), "host", "host_rate", "host_flagged"))
 
 
 def kept_rows(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
     """The rows of ``docs``, all columns, that the verdict keeps.  Rows are
-    judged as they stand, so nothing is joined by id."""
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("_quality_row")
-    judged = host_quality(docs.select("doc_id", "text", docs[host], row), host, host_rate, ("_quality_row",))
-    return judged.filter("kept").select(*[F.col("_quality_row").getField(c).alias(c) for c in docs.columns])
+    judged as they stand: their counts are taken again as they pass, so that
+    neither texts are stored nor anything is joined by id."""
+    columns = docs.columns
+    hosts = shared_table(host_verdicts(apply_rules(document_counts(docs, host)), host_rate)
+                         .select(F.col("host").alias("h_host"), "host_flagged"), "quality-hosts")
+    row = F.struct(*[docs[c] for c in columns]).alias("_quality_row")
+    counts = document_counts(docs.select("doc_id", "text", docs[host], row), host, ("_quality_row",))
+    # generated rows: the filter below must not move into the counting, where
+    # it would repeat the counts' expressions inside each other
+    each = F.explode(F.array(F.struct(*[c for c in counts.columns if c != "_quality_row"]))).alias("k")
+    ruled = apply_rules(counts.select("_quality_row", each).select("_quality_row", "k.*"))
+    kept = ~F.col("base_failed") & ~F.col("severe") & (~F.col("any_failed") | ~F.col("host_flagged"))
+    return (ruled.join(hosts, F.col("host").eqNullSafe(F.col("h_host"))).filter(kept)
+                 .select(*[F.col("_quality_row").getField(c).alias(c) for c in columns]))

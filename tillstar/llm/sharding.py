@@ -18,6 +18,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,14 +79,20 @@ def sharded_rows(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns (but ones named shard or slot), with
     ``shard`` and ``slot``.
 
-    The rows are written once, so that each has a place (file and row) by
-    which its shard is joined to it: equal rows keep apart, and only narrow
-    rows are ranked."""
+    A row's place (file and row number) tells equal rows apart, and only
+    narrow rows are ranked; rows that do not come from files are written
+    once."""
     columns = [c for c in docs.columns if c not in ("shard", "slot")]
-    rows = shared_table(docs.select(*columns), "shard-input")
-    placed = rows.select(F.struct(*columns).alias("_row"), "doc_id", "source", "text",
-                         F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    shards = shared_table(assign_shards(placed, keep=("_file", "_at"), **how)
+
+    def placed(rows):
+        return rows.select(F.struct(*columns).alias("_row"), "doc_id", "source", "text",
+                           F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    try:
+        rows = placed(docs)
+        rows.schema
+    except AnalysisException:       # no file below
+        rows = placed(shared_table(docs.select(*columns), "shard-input"))
+    shards = shared_table(assign_shards(rows, keep=("_file", "_at"), **how)
                           .select("_file", "_at", "shard", "slot"), "shard-places")
-    return placed.select("_row", "_file", "_at").join(small_side(shards), ["_file", "_at"]).select(
+    return rows.select("_row", "_file", "_at").join(small_side(shards), ["_file", "_at"]).select(
         *[F.col("_row").getField(c).alias(c) for c in columns], "shard", "slot")

@@ -41,11 +41,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import WordHasher, ascii_words, shared_table, shingle_sequence, small_side
+from tillstar.llm.common import WordHasher, ascii_words, scratch, shared_table, shingle_sequence, small_side
 from tillstar.llm.graph import components
 
 PERCENT = 75
-BLOCK = 64
+BLOCK = 1_000
+BLOCK_TOKENS = 400_000
 COMMON = 16
 MOST_ROUNDS = 6
 SEEN = 200_000
@@ -185,15 +186,15 @@ def _open_blocks(queries: DataFrame, blocks: DataFrame, sets: DataFrame, percent
 
 
 def _blocks(labels: DataFrame) -> DataFrame:
-    """c, n, label -> with block number g, members of similar size together:
-    label and the rank of the size among the label's, BLOCK to a block."""
+    """c, n, label -> with block number g: members of a label, similar sizes
+    together, about BLOCK of them and BLOCK_TOKENS tokens to a block."""
     # sizes are counted first, so that no label is numbered member by member
     per = labels.groupBy("label", "n").count()
     before = Window.partitionBy("label").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0))) \
-             .withColumn("parts", F.ceil(F.col("count") / (BLOCK / 2)))
+    load = F.greatest(F.lit(1 / BLOCK), F.col("n") / F.lit(float(BLOCK_TOKENS))) * F.col("count")
+    per = per.withColumn("parts", F.ceil(load)).withColumn("first", F.coalesce(F.sum(load).over(before), F.lit(0.0)))
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("c"), F.col("parts"))).otherwise(-1)
-    band = F.when(F.col("parts") > 1, F.col("n")).otherwise(-1 - F.floor(F.col("first") / (BLOCK / 2)))
+    band = F.when(F.col("parts") > 1, F.col("n")).otherwise(-1 - F.floor("first"))
     return labels.join(per, ["label", "n"]).select(
         "c", "n", "label", F.xxhash64("label", band, part).alias("g"))
 
@@ -318,11 +319,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", percent: int = PERC
     classes = shared_table(with_set.groupBy("c").agg(
         F.first("n").alias("n"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "jaccard-classes")
     prefixes = shingle_sets(docs.filter(F.col("id").isNotNull()), "prefix", percent).select("c", "tokens")
-    links = class_links(docs, classes, prefixes, percent)
-    label = components(links).withColumnRenamed("node", "c")
-    labelled = classes.join(label, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    least = labelled.groupBy("label").agg(F.min("rep").alias("component"))
-    of_class = labelled.join(least, "label").select("c", "component")
+    with scratch(docs.sparkSession):
+        links = class_links(docs, classes, prefixes, percent)
+        label = components(links).withColumnRenamed("node", "c")
+        labelled = classes.join(label, "c", "left").withColumn("label", F.coalesce("label", "c"))
+        least = labelled.groupBy("label").agg(F.min("rep").alias("component"))
+        of_class = shared_table(labelled.join(least, "label").select("c", "component"), "jaccard-components", keep=True)
     return found.select("id", "n", "c").join(of_class, "c", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))

@@ -253,6 +253,33 @@ class TestPassages:
         assert want <= got and len(got) <= 1.1 * len(want)
         assert all(r.end_word - r.start_word >= 50 and r.similarity >= 0.75 and r.doc_id != r.other_doc_id for r in rows)
 
+    @pytest.mark.parametrize("length", [12, 23])
+    def test_passages_of_lines_that_smaller_ids_hold(self, spark, length):
+        def new(tag, n):
+            return " ".join(f"{tag}w{i}" for i in range(n))
+        lines = [new(f"common{k}", length) for k in range(8)]
+        rows = [(i, f"{new(f'a{i}', 60)} {lines[i % 8]} {new(f'b{i}', 60)}") for i in range(240)]
+        pairs = set()
+        for n in range(30):
+            held = " ".join(lines[(n + k * (n // 8 + 1)) % 8] for k in range(46 // length))
+            passage = f"{held} {new(f'p{n}', 50 - len(held.split()))}"
+            pairs.add((2 * n + 1001, 2 * n + 1000))
+            rows += [(2 * n + 1000 + k, f"{new(f'c{n}x{k}', 70)} {passage} {new(f'd{n}x{k}', 70)}") for k in range(2)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5, "doc_id")
+        got = compact_windows.repeated_passages(docs).collect()
+        assert pairs <= {(r.doc_id, r.other_doc_id) for r in got if r.end_word - r.start_word >= 50}
+
+    def test_anchor_that_repeats_a_shingle(self):
+        import numpy as np
+        import pyarrow as pa
+        line = " ".join(f"same{i}" for i in range(80))
+        texts = [f"{line} {' '.join(f'x{i}' for i in range(60))} {line}", line]
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": texts})
+        rows = [r for b in compact_windows._windows([batch], 4, 46) for r in b.to_pylist() if r["doc2"] is not None]
+        assert rows and all(r["lo2"] < 80 and r["hi2"] > 140 for r in rows if r["lo"] == 0)
+        s = np.arange(60, dtype=np.uint64)
+        assert len(set(compact_windows.run_hashes(s, 46, np.arange(15)).tolist())) == 15
+
     def test_awkward_rows(self, odd, nothing):
         got = {(r.doc_id, r.other_doc_id) for r in compact_windows.repeated_passages(odd).collect()}
         assert {(6, 5), (7, 5), (14, 5)} <= got or {5, 6, 7, 14} <= {i for p in got for i in p}

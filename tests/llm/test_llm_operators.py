@@ -436,6 +436,28 @@ class TestLicenses:
                        5: {"Apache-2.0", "Proprietary"}, 6: {"unknown"}}
         assert licenses.scan_licenses(odd).count() == 0 and licenses.scan_licenses(nothing).count() == 0
 
+    def test_wrapped_notices(self):
+        import textwrap
+        mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+               "documentation files (the \"Software\"), to deal in the Software without restriction, including")
+        gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+               "Public License as published by the Free Software Foundation, either version 3 of the License, or")
+        apache = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                  "compliance with the License. You may obtain a copy of the License at "
+                  "http://www.apache.org/licenses/LICENSE-2.0")
+        bsd = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+               "the following conditions are met:", "1. Redistributions of source code must retain the above copyright "
+               "notice, this list of conditions and the following disclaimer.", "2. Redistributions in binary form must "
+               "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+               "documentation and/or other materials provided with the distribution."]
+        three = ["3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                 "promote products derived from this software without specific prior written permission."]
+        known, wrap = licenses.Templates(), lambda *parts: "\n\n".join(textwrap.fill(x, 60) for x in parts)
+        for name, parts in (("MIT", [mit]), ("GPL-3.0", [gpl]), ("Apache-2.0", [apache]), ("BSD-2-Clause", bsd),
+                            ("BSD-3-Clause", bsd + three)):
+            text = "First line.\n" + wrap(*parts) + "\nLast line."
+            assert [x[:2] for x in known.scan(text)] == [(1, name)]
+
     def test_every_planted_notice(self, spark):
         docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
         want = Counter()

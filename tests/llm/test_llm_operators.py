@@ -458,6 +458,18 @@ class TestLicenses:
             text = "First line.\n" + wrap(*parts) + "\nLast line."
             assert [x[:2] for x in known.scan(text)] == [(1, name)]
 
+    def test_notices_at_the_end_of_prose(self):
+        prose = ("this program is a small piece of software that any person may obtain as source code or in binary form and "
+                 "use with or without the documentation that we have published for it under the terms of the project so "
+                 "that you may modify a copy of this file and the other files") + ". "
+        known = licenses.Templates()
+        for name, texts in licenses.TEMPLATES.items():
+            for text in texts:
+                assert {x[1] for x in known.scan(prose + re.sub(r"[\[\]]", "", text))} == {name}
+        both = "Released under the MIT License. Licensed under CC BY 4.0."
+        assert {x[1] for x in known.scan(prose + both)} == {"MIT", "CC-BY-4.0"}
+        assert {x[1] for x in known.scan("Released under the ISC License. " + "word " * 30 + both)} == {"ISC", "MIT", "CC-BY-4.0"}
+
     def test_every_planted_notice(self, spark):
         docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
         want = Counter()

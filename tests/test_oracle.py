@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB formulation (sf0.001)."""
+"""Every registered report against its DuckDB formulation (sf0.001)."""
 
 import os
 
@@ -7,12 +7,13 @@ import pytest
 
 import __spark_entry__ as E
 from tillstar.oracle.compare import same_result
+from tillstar.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,11 @@ def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_registers_the_reports():
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import (compact_windows, decontaminate, group_join, host_quality, langid, licenses, mixing, sharding,
-                          toxicity, warc)
+from tillstar.llm import (compact_windows, decontaminate, group_join, host_quality, langid, lexical_search, licenses,
+                          mixing, sharding, toxicity, warc)
 from tillstar.llm.common import shared_path
 
 
@@ -82,12 +82,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_language_id, op2_host_quality, op3_ngram_jaccard_join, op4_warc, op5_compact_windows, op6_decontamination,
-        op7_mixing, op8_sharding, op9_toxicity, op10_license_scan)}
+        op7_mixing, op8_sharding, op9_toxicity, op10_license_scan, op11_lexical_search)}
 
 
 def oracle_sql() -> dict:
     from tillstar.llm import sql
-    return {"op2_host_quality": sql.HOST_QUALITY, "op4_warc": sql.WARC, "op7_mixing": sql.MIXING}
+    return {"op2_host_quality": sql.HOST_QUALITY, "op4_warc": sql.WARC, "op7_mixing": sql.MIXING,
+            "op11_lexical_search": sql.LEXICAL_SEARCH}

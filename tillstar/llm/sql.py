@@ -91,3 +91,30 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN holder <> page_id THEN holder END AS refers_to
 FROM grouped
 """
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL_SEARCH = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}') AS terms
+  FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) AS term
+  FROM benchmark),
+totals AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+counts AS (
+  SELECT place, doc_id, n, term, count(*) AS tf
+  FROM (SELECT place, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts CROSS JOIN totals GROUP BY term, n_docs),
+scores AS (
+  SELECT q.item_id, c.place, c.doc_id,
+         sum(w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (50 + (50 * c.n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN counts c USING (term) JOIN weights USING (term) CROSS JOIN totals GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, place)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
+"""

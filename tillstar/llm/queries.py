@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import (compact_windows, decontaminate, group_join, host_quality, langid, lexical_search, licenses,
-                          mixing, sharding, toxicity, warc)
+from tillstar.llm import (compact_windows, decontaminate, group_join, host_quality, html_extraction, langid,
+                          lexical_search, licenses, mixing, sharding, toxicity, warc, whitening)
 from tillstar.llm.common import shared_path
 
 
@@ -87,10 +87,23 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first whitening components."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained",
+        "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_language_id, op2_host_quality, op3_ngram_jaccard_join, op4_warc, op5_compact_windows, op6_decontamination,
-        op7_mixing, op8_sharding, op9_toxicity, op10_license_scan, op11_lexical_search)}
+        op7_mixing, op8_sharding, op9_toxicity, op10_license_scan, op11_lexical_search,
+        op12_whitening, op13_html_extraction)}
 
 
 def oracle_sql() -> dict:

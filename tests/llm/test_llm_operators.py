@@ -417,6 +417,11 @@ class TestToxicity:
         model = toxicity.train(docs, labels)
         got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
         assert got[1].score > 0.5 > got[2].score and got[1].passages[0].start == 5
+        # length alone tells nothing
+        plain = spark.createDataFrame([(i, "word " * n) for i, n in enumerate((0, 1, 7, 8, 9, 500, 40_000))], "doc_id bigint, text string")
+        assert len({r.score for r in toxicity.score(plain, model).collect()}) == 1 and toxicity.score(plain, model).first().score < 0.5
+        same = spark.createDataFrame([(i, "the same words " + "abcdefghij"[i % 10]) for i in range(60)], "doc_id bigint, text string")
+        assert not toxicity.train(same, labels).usable
         rest = toxicity.score(odd, model).collect()
         assert len(rest) == odd.count() and all(0 <= r.score <= 1 for r in rest)
         assert {r.score for r in toxicity.score(odd, toxicity.train(docs, labels.limit(0))).collect()} == {0.0}

@@ -1,7 +1,9 @@
 """Toxic passages by maximum-scoring segments.
 
 1. Token log-odds: counts of the toxic and other training documents that hold
-   a word (exact copies once) with an informative Dirichlet prior (the pooled counts, scaled to ``PRIOR`` words);
+   a word (exact copies once) with an informative Dirichlet prior (the pooled
+   counts, scaled to ``PRIOR`` words or, in a small sample, to ``PRIOR_SHARE`` of
+   the smaller class);
    the log-odds ratio is drawn towards 0 by its own standard error, so words
    without evidence score 0.
 2. Every text is a sequence of scores, each less a small ``DRIFT``.  All
@@ -19,13 +21,17 @@
 The classifier is fitted on at most ``TRAIN_ROWS`` labelled documents of each
 class, those with the smallest hash of their id (the documented bound of the
 sample); class weights restore the proportions of all labels.  Words rarer
-than ``FLOOR`` in both samples, or in fewer than ``LEAST_DOCUMENTS``, are pooled, which bounds the model at
-``2 / FLOOR`` words.
-
-Edge cases: null or empty text has no segment and gets the score of an empty
-sequence; null labels and null ids train nothing; repeated labels of a
-document count once (the highest); without labels of both classes every score
-is 0; repeated rows are scored each; other columns are ignored.
+than ``FLOOR`` in both samples, or in fewer than ``LEAST_DOCUMENTS``, are pooled
+into one rare word, so the model has at most ``2 / FLOOR`` words; whole texts are
+scored, and only the sample's texts of two numbers each come to the driver.
+
+Edge cases: every text without a segment, null and empty ones too, gets the one
+score of ``NO_SEGMENT``; very long texts are scanned once, in linear time; of
+equally good segments the first is the best; null labels and null ids train
+nothing; repeated labels of a document count once (the highest); without
+labels of both classes, or if no word tells them apart, every score is 0;
+repeated rows are scored each; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +50,10 @@ from tillstar.llm.langid import letter_words
 TRAIN_ROWS = 10_000
 FLOOR = 1 / 200_000
 LEAST_DOCUMENTS = 3
-PRIOR = 2_000.0
+# The prior counts as so many words, but no more than this share of the smaller class's.
+PRIOR, PRIOR_SHARE = 2_000.0, 0.05
+# Normalized score of a text without a segment, and the least of any other.
+NO_SEGMENT = -3.0
 DRIFT = 0.25
 E_VALUE = 0.05
 FLUSH = 300_000
@@ -96,8 +105,10 @@ class ToxicityModel:
         return len(s), [(a, b, v, self.rate * v - lift) for a, b, v in maximal_segments(s)]
 
     def features(self, text: str | None) -> tuple[float, float, list]:
-        n, found = self.passages(text)
-        best = max((x[3] for x in found), default=-np.log(self.size * max(n, 1)))
+        """Normalized best segment and sum of the significant ones, which does
+        not depend on the length of a text without a segment."""
+        found = self.passages(text)[1]
+        best = max([NO_SEGMENT, *(float(x[3]) for x in found)])
         strong = [x for x in found if np.exp(-x[3]) <= E_VALUE]
         return best, float(np.log1p(sum(x[3] for x in strong))), strong
 
@@ -144,8 +155,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
                                        for k in (0, 1)]))
 
 
-def log_odds(n0: np.ndarray, n1: np.ndarray, t0: float, t1: float, prior: float = PRIOR) -> np.ndarray:
+def log_odds(n0: np.ndarray, n1: np.ndarray, t0: float, t1: float) -> np.ndarray:
     """Log-odds ratios with the pooled prior, less their standard error."""
+    prior = min(PRIOR, PRIOR_SHARE * min(t0, t1))
     a = prior * (n0 + n1) / (t0 + t1)
     ratio = (np.log((n1 + a) / (t1 + prior - n1 - a)) - np.log((n0 + a) / (t0 + prior - n0 - a)))
     return np.sign(ratio) * np.maximum(np.abs(ratio) - np.sqrt(1 / (n1 + a) + 1 / (n0 + a)), 0)
@@ -206,28 +218,35 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, floor: flo
     other = next((min(float(x), -DRIFT) for r, x in zip(kept, s) if r["word"] is None), -DRIFT)
     model = ToxicityModel(table, other, rate=_rate(n0 / t0, s))
 
-    # calibration: the sample's best and significant segments
+    if not any(x > 0 for x in table.values()):                        # no word tells the classes apart
+        return ToxicityModel({}, -DRIFT, usable=False)
+
+    # calibration on the sample, two numbers a document: first its best
+    # segment, then, with the fitted size, the features of the curve
+    def of_sample(features):
+        def scan(batches):
+            for b in batches:
+                found = [features(t) for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("toxic").cast(pa.int32()), *(pa.array([x[k] for x in found], pa.float64()) for k in (0, 1))],
+                    ["toxic", "best", "total"])
+        rows = texts.mapInArrow(scan, "toxic int, best double, total double").collect()
+        return np.array([tuple(r) for r in rows], dtype=float).reshape(-1, 3).T
+
     first = Shared(spark, model)
 
-    def best_segments(batches):
-        for b in batches:
-            found = [first.value.passages(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("toxic").cast(pa.int32()), pa.array([n for n, _ in found], pa.int64()),
-                 pa.array([max((x[3] for x in f), default=-float(np.log(max(n, 1)))) for n, f in found], pa.float64()),
-                 pa.array([[x[3] for x in f] for _, f in found], pa.list_(pa.float64()))],
-                ["toxic", "n", "best", "every"])
-
-    fitted = texts.mapInArrow(best_segments, "toxic int, n bigint, best double, every array<double>").collect()
-    y = np.array([r["toxic"] for r in fitted], dtype=float)
-    best = np.array([r["best"] for r in fitted])
+    def best_segment(text):
+        n, found = first.value.passages(text)
+        return max((float(x[3]) for x in found), default=-float(np.log(max(n, 1)))), 0.0
+
+    y, best, _ = of_sample(best_segment)
     if not (y == 0).any() or not (y == 1).any():
         return ToxicityModel({}, -DRIFT, usable=False)
-    lift = float(best[y == 0].mean() - np.euler_gamma)                # ln(size)
-    model.size = float(np.exp(lift))
-    total = np.array([np.log1p(sum(v - lift for v in r["every"] if np.exp(lift - v) <= E_VALUE)) for r in fitted])
+    model.size = float(np.exp(best[y == 0].mean() - np.euler_gamma))
+    second = Shared(spark, model)
+    y, best, total = of_sample(lambda text: second.value.features(text)[:2])
     weight = np.where(y == 1, totals[1] / (y == 1).sum(), totals[0] / (y == 0).sum())
-    model.curve = _logistic(np.column_stack([best - lift, total]), y, weight / weight.mean())
+    model.curve = _logistic(np.column_stack([best, total]), y, weight / weight.mean())
     return model
 
 

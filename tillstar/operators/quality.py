@@ -3,19 +3,21 @@
 All checks are single-pass aggregates or shuffles keyed by (column, value);
 per-column metrics are computed on a long (column, value) form so one job
 covers every column.  Percentiles are exact (linear interpolation between
-the two neighbouring order statistics, as pandas does) and distributed:
-values are numbered with :func:`ordered_stats` per column, and only the rows
-at the needed positions are kept -- no column is ever gathered into one task.
+the two neighbouring order statistics, as pandas does) and distributed: the
+order statistics are selected by counting ranges of values, so no column is
+ever ordered or gathered into one task.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.metrics import big, dbl, pct, snap_round
-from tillstar.operators.ranking import OrderSpec, ordered_stats
+from tillstar.operators.selection import long_rows, quantile_positions, select_positions
 from tillstar.schemas import CATEGORICAL_COLUMNS, INGEST_SEQ, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -52,45 +54,36 @@ def value_type(t: T.DataType) -> str:
 def exact_quantiles(df: DataFrame, cols: list, probs: list, expected_rows: int | None = None) -> DataFrame:
     """(column_name, p, value): linear-interpolated quantiles of non-null values.
 
-    Columns of one value type are taken together.  Rows are first reduced to
-    (column, value, count) -- a map-side combined aggregate, so a value
-    repeated millions of times is one row -- and the order statistic at
-    position k is the value whose cumulative count first reaches k.  Only the
-    distinct values are ordered."""
-    by_type: dict = {}
+    The two neighbouring order statistics are selected by histogram refinement
+    (:mod:`tillstar.operators.selection`): integers and decimals of up to 18
+    digits all together as whole numbers of their last place, floating point
+    and longer decimals in their own type.  NaN counts as missing."""
+    kinds: dict = {}
     for c in cols:
-        by_type.setdefault(value_type(df.schema[c].dataType), []).append(c)
-    out = None
-    for kind, names in by_type.items():
-        part = _quantiles_of_type(df, names, kind, probs)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _quantiles_of_type(df: DataFrame, cols: list, kind: str, probs: list) -> DataFrame:
-    spark = df.sparkSession
-    long = long_form(df, cols, kind).filter(F.col("value").isNotNull())
-    # written once: counted, ordered and summed up below
-    vc = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
-    ranked = ordered_stats(vc, OrderSpec([("value", False)]), partition_by=["column_name"],
-                           running_sums={"_cum": "_c"})
-    counts = vc.groupBy(F.col("column_name").alias("_qcol")).agg(F.sum("_c").alias("_n"))
-    ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    h = (F.col("_n") - 1).cast("double") * F.col("p")
-    need = (counts.crossJoin(ps)
-            .withColumn("_lo", (F.floor(h) + 1).cast("bigint"))
-            .withColumn("_hi", F.least(F.floor(h) + 2, F.col("_n")).cast("bigint"))
-            .withColumn("_frac", h - F.floor(h)))
-    first, last = F.col("_cum") - F.col("_c") + 1, F.col("_cum")
-    covers_lo = (first <= F.col("_lo")) & (F.col("_lo") <= last)
-    covers_hi = (first <= F.col("_hi")) & (F.col("_hi") <= last)
-    # columns x probabilities rows: a bounded broadcast
-    hit = ranked.join(F.broadcast(need), (F.col("column_name") == F.col("_qcol")) & (covers_lo | covers_hi))
-    g = hit.groupBy("column_name", "p", "_frac").agg(
-        F.max(F.when(covers_lo, F.col("value"))).alias("_vlo"),
-        F.max(F.when(covers_hi, F.col("value"))).alias("_vhi"))
-    vlo, vhi = dbl("_vlo"), dbl("_vhi")
-    return g.select("column_name", "p", (vlo + (vhi - vlo) * F.col("_frac")).alias("value"))
+        t = df.schema[c].dataType
+        if isinstance(t, (T.FloatType, T.DoubleType)):
+            kinds.setdefault("double", {})[c] = (f"CAST(`{c}` AS DOUBLE)", 0)
+        elif isinstance(t, T.DecimalType) and t.precision > 18:
+            kinds.setdefault(f"decimal(38,{t.scale})", {})[c] = (f"CAST(`{c}` AS DECIMAL(38,{t.scale}))", 0)
+        elif isinstance(t, T.DecimalType):
+            kinds.setdefault("bigint", {})[c] = (f"CAST(`{c}` * CAST({10 ** t.scale} AS DECIMAL({t.scale + 1},0)) AS BIGINT)", t.scale)
+        else:
+            kinds.setdefault("bigint", {})[c] = (f"CAST(`{c}` AS BIGINT)", 0)
+    rows = []
+    for kind, columns in kinds.items():
+        counts: dict = {}
+
+        def wanted(n, counts=counts):
+            counts.update(n)
+            return {c: [x for lo, hi, _ in quantile_positions(k, probs).values() for x in (lo, hi)] for c, k in n.items()}
+
+        found = select_positions(long_rows(df, {c: sql for c, (sql, _) in columns.items()}), wanted, kind)
+        for c, (_, scale) in columns.items():
+            for p, (lo, hi, share) in (quantile_positions(counts[c], probs).items() if c in counts else ()):
+                vlo, vhi = (float(Decimal(v).scaleb(-scale)) if kind == "bigint" else float(v)
+                            for v in (found[c][lo][0], found[c][hi][0]))
+                rows.append((c, float(p), vlo + (vhi - vlo) * share))
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
 
 
 # --------------------------------------------------------------------------

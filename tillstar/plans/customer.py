@@ -20,9 +20,14 @@ from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import avg_of, big, dbl, half_up_div, money, pct, ratio
 from tillstar.operators.ranking import OrderSpec, ordered_stats
+from tillstar.operators.selection import ntile_cuts, order_limits, part_of
 from tillstar.plans.warehouse import Warehouse
 
 TIE = [("customer_id", False)]
+# months in one word of a customer's mask
+COHORT_BITS = 60
+# whole numbers that rise with the score: the latest last order is best
+RFM_MEASURES = {"r": "-recency_days", "f": "frequency", "m": "CAST(monetary * 100 AS BIGINT)"}
 
 
 def _snapshot(wh: Warehouse) -> DataFrame:
@@ -31,16 +36,18 @@ def _snapshot(wh: Warehouse) -> DataFrame:
 
 
 def rfm_base(wh: Warehouse) -> DataFrame:
-    n = wh.customer_rows()
+    """Recency, frequency and spend with their quintiles (NTILE over the
+    measure, then the id).
+
+    The quintiles' last customers are selected by counting value ranges; every
+    customer is then scored by comparing with them, without any order."""
     base = (wh.dim_customer.crossJoin(F.broadcast(_snapshot(wh))).select(
         "customer_id", "customer_key", "customer_country",
         F.datediff("_snapshot", "last_order_date").cast("bigint").alias("recency_days"),
         big("total_orders").alias("frequency"),
         F.round("total_revenue", 2).alias("monetary")))
-    s = ordered_stats(base, OrderSpec([("recency_days", True)], TIE), ntiles={"r_score": 5}, expected_rows=n)
-    s = ordered_stats(s, OrderSpec([("frequency", False)], TIE), ntiles={"f_score": 5}, expected_rows=n)
-    s = ordered_stats(s, OrderSpec([("monetary", False)], TIE), ntiles={"m_score": 5}, expected_rows=n)
-    return s
+    limits = wh.keep("rfm_limits", lambda: order_limits(base, RFM_MEASURES, "customer_id", ntile_cuts(5)))
+    return base.select("*", *[part_of(RFM_MEASURES[m], "customer_id", limits[m]).alias(f"{m}_score") for m in RFM_MEASURES])
 
 
 def _rfm_out(df: DataFrame) -> DataFrame:
@@ -166,16 +173,29 @@ def repeat_purchase_analysis(wh: Warehouse) -> DataFrame:
 def _build_cohort_counts(wh: Warehouse) -> DataFrame:
     """(cohort_month, order_month) -> distinct active customers.
 
-    Orders are first reduced to distinct (customer, month) pairs (a partial
-    aggregate before the shuffle), then joined to the customer's cohort at
-    customer grain; the pair count is the distinct-customer count."""
-    month = cal.month_start(cal.key_to_date(F.col("date_key")))
-    pairs = wh.fact.select("customer_key", month.alias("order_month")).distinct()
-    cohorts = wh.dim_customer.select("customer_key", cal.month_start(F.col("first_order_date")).alias("cohort_month"))
-    cohorts = F.broadcast(cohorts) if wh.can_broadcast("dim_customer") else cohorts
-    return (pairs.join(cohorts, "customer_key")
-                 .groupBy("cohort_month", "order_month").agg(F.count(F.lit(1)).alias("customers"))
-                 .withColumn("period_number", cal.months_between_starts(F.col("order_month"), F.col("cohort_month"))))
+    One pass over the fact makes a row per customer: the months with orders as
+    bits (words of 60 months, by the calendar's length), the lowest of which is
+    the cohort.  The cells are sums of bits per cohort, one row a cohort."""
+    ends = wh.dim_date.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi")).first()
+    if ends["lo"] is None:
+        months, origin = 0, 0
+    else:
+        origin = ends["lo"].year * 12 + ends["lo"].month - 1
+        months = ends["hi"].year * 12 + ends["hi"].month - origin
+    date = cal.key_to_date(F.col("date_key"))
+    at = (F.year(date) * 12 + F.month(date) - 1 - origin).cast("int")
+    words = range(-(-months // COHORT_BITS) or 1)
+    masks = wh.fact.select("customer_key", at.alias("at")).groupBy("customer_key").agg(
+        F.min("at").alias("cohort"),
+        *[F.bit_or(F.when(F.floor(F.col("at") / COHORT_BITS) == w, F.expr(
+            f"shiftleft(CAST(1 AS BIGINT), pmod(at, {COHORT_BITS}))")).otherwise(F.lit(0).cast("bigint"))).alias(f"w{w}") for w in words])
+    bit = lambda m: F.sum(F.shiftright(F.col(f"w{m // COHORT_BITS}"), m % COHORT_BITS).bitwiseAND(F.lit(1)))
+    cells = masks.groupBy("cohort").agg(*[bit(m).alias(f"m{m}") for m in range(months)] or [F.count(F.lit(1)).alias("m0")])
+    month = lambda c: F.make_date(F.floor((c + origin) / 12).cast("int"), (F.pmod(c + origin, F.lit(12)) + 1).cast("int"), F.lit(1))
+    each = cells.select("cohort", F.expr(f"stack({max(1, months)}, " + ", ".join(f"{m}, m{m}" for m in range(max(1, months)))
+                                         + ") AS (at, customers)")).filter("customers > 0")
+    return each.select(month(F.col("cohort")).alias("cohort_month"), month(F.col("at")).alias("order_month"), "customers",
+                       (F.col("at") - F.col("cohort")).alias("period_number"))
 
 
 def cohort_counts(wh: Warehouse) -> DataFrame:

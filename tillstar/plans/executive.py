@@ -9,6 +9,7 @@ from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import (avg_of, big, dbl, discount_rate_pct, margin_pct, money, orders_count,
                                         pct, ratio, return_rate_pct)
+from tillstar.plans import periods
 from tillstar.plans.warehouse import Warehouse
 from tillstar.plans.windows import customer_totals, product_totals
 
@@ -159,23 +160,16 @@ def exec_top_channels(wh: Warehouse) -> DataFrame:
 
 
 def exec_qbr(wh: Warehouse) -> DataFrame:
-    f = wh.with_dims(wh.fact, date=["year", "quarter", "quarter_label"])
-    g = f.groupBy("year", "quarter", "quarter_label").agg(
-        money(F.sum("gross_revenue")).alias("gross_revenue"),
-        money(F.sum("discount_amount")).alias("less_discounts"),
-        F.sum("revenue").alias("_rev"),
-        money(F.sum("shipping_cost")).alias("shipping_costs"),
-        money(F.sum("profit")).alias("operating_profit"),
-        margin_pct(F.sum("profit"), F.sum("revenue")).alias("profit_margin_pct"),
-        big(orders_count()).alias("orders"),
-        big(F.countDistinct("customer_key")).alias("active_customers"),
-        avg_of("rating").alias("avg_rating"),
-        return_rate_pct().alias("return_rate_pct"))
-    prev = F.lag("_rev").over(Window.orderBy("year", "quarter"))
-    return (g.select(big("year").alias("year"), big("quarter").alias("quarter"), "quarter_label", "gross_revenue",
-                     "less_discounts", money("_rev").alias("net_revenue"), "shipping_costs", "operating_profit",
-                     "profit_margin_pct", "orders", "active_customers", "avg_rating", "return_rate_pct",
-                     pct(F.col("_rev") - prev, prev).alias("qoq_revenue_growth_pct"))
+    g = periods.roll_up(wh, "year", "quarter", "quarter_label")
+    prev = F.lag("revenue").over(Window.orderBy("year", "quarter"))      # a row a quarter
+    return (g.select(big("year").alias("year"), big("quarter").alias("quarter"), "quarter_label",
+                     money("gross_revenue").alias("gross_revenue"), money("discount_amount").alias("less_discounts"),
+                     money("revenue").alias("net_revenue"), money("shipping_cost").alias("shipping_costs"),
+                     money("profit").alias("operating_profit"),
+                     margin_pct(F.col("profit"), F.col("revenue")).alias("profit_margin_pct"),
+                     periods.orders().alias("orders"), big("customers").alias("active_customers"),
+                     ratio("rating", "ratings").alias("avg_rating"), pct("is_returned", "orders").alias("return_rate_pct"),
+                     pct(F.col("revenue") - prev, prev).alias("qoq_revenue_growth_pct"))
              .orderBy("year", "quarter"))
 
 

@@ -6,65 +6,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import mappings as mp
-from tillstar.functions.metrics import (avg_of, big, dbl, discount_rate_pct, margin_pct, money,
-                                        orders_count, ratio, return_rate_pct)
+from tillstar.functions.metrics import (avg_of, big, dbl, margin_pct, money, orders_count, pct, ratio, return_rate_pct)
+from tillstar.plans import periods
 from tillstar.plans.warehouse import Warehouse
 
 
 def kpi_business_summary(wh: Warehouse) -> DataFrame:
-    f = wh.with_dims(wh.fact, date=["full_date"])
-    return f.agg(
-        big(orders_count()).alias("total_orders"),
-        big(F.countDistinct("customer_key")).alias("total_customers"),
-        dbl(F.sum("revenue")).alias("total_revenue"),
-        dbl(F.sum("gross_revenue")).alias("total_gross_revenue"),
-        dbl(F.sum("profit")).alias("total_profit"),
-        dbl(F.sum("discount_amount")).alias("total_discount_given"),
-        dbl(F.sum("shipping_cost")).alias("total_shipping_cost"),
-        ratio(F.sum("revenue"), orders_count()).alias("average_order_value"),
-        margin_pct(F.sum("profit"), F.sum("revenue")).alias("overall_profit_margin_pct"),
-        discount_rate_pct().alias("overall_discount_rate_pct"),
-        return_rate_pct().alias("return_rate_pct"),
-        F.min("full_date").alias("data_start_date"),
-        F.max("full_date").alias("data_end_date"),
-    )
+    return periods.roll_up(wh).select(
+        periods.orders().alias("total_orders"),
+        big("customers").alias("total_customers"),
+        dbl("revenue").alias("total_revenue"),
+        dbl("gross_revenue").alias("total_gross_revenue"),
+        dbl("profit").alias("total_profit"),
+        dbl("discount_amount").alias("total_discount_given"),
+        dbl("shipping_cost").alias("total_shipping_cost"),
+        periods.per_order("revenue").alias("average_order_value"),
+        margin_pct(F.col("profit"), F.col("revenue")).alias("overall_profit_margin_pct"),
+        pct("discount_amount", "gross_revenue").alias("overall_discount_rate_pct"),
+        pct("is_returned", "orders").alias("return_rate_pct"),
+        periods.day("first_key").alias("data_start_date"),
+        periods.day("last_key").alias("data_end_date"))
 
 
 def kpi_monthly_revenue(wh: Warehouse) -> DataFrame:
-    f = wh.with_dims(wh.fact, date=["year", "month", "month_label", "quarter_label"])
-    return (f.groupBy("year", "month", "month_label", "quarter_label").agg(
-        big(orders_count()).alias("orders"),
-        big(F.countDistinct("customer_key")).alias("unique_customers"),
-        money(F.sum("revenue")).alias("revenue"),
-        money(F.sum("gross_revenue")).alias("gross_revenue"),
-        ratio(F.sum("revenue"), orders_count()).alias("aov"))
-        .select(big("year").alias("year"), big("month").alias("month"), "month_label", "quarter_label",
-                "orders", "unique_customers", "revenue", "gross_revenue", "aov")
-        .orderBy("year", "month"))
+    return (periods.roll_up(wh, "year", "month", "month_label", "quarter_label")
+            .select(big("year").alias("year"), big("month").alias("month"), "month_label", "quarter_label",
+                    periods.orders().alias("orders"), big("customers").alias("unique_customers"),
+                    money("revenue").alias("revenue"), money("gross_revenue").alias("gross_revenue"),
+                    periods.per_order("revenue").alias("aov"))
+            .orderBy("year", "month"))
 
 
 def kpi_quarterly_revenue(wh: Warehouse) -> DataFrame:
-    f = wh.with_dims(wh.fact, date=["year", "quarter", "quarter_label"])
-    return (f.groupBy("year", "quarter", "quarter_label").agg(
-        money(F.sum("revenue")).alias("revenue"),
-        money(F.sum("profit")).alias("profit"),
-        big(orders_count()).alias("orders"),
-        margin_pct(F.sum("profit"), F.sum("revenue")).alias("profit_margin_pct"))
-        .select(big("year").alias("year"), big("quarter").alias("quarter"), "quarter_label", "revenue",
-                "profit", "orders", "profit_margin_pct")
-        .orderBy("year", "quarter"))
+    return (periods.roll_up(wh, "year", "quarter", "quarter_label")
+            .select(big("year").alias("year"), big("quarter").alias("quarter"), "quarter_label",
+                    money("revenue").alias("revenue"), money("profit").alias("profit"),
+                    periods.orders().alias("orders"),
+                    margin_pct(F.col("profit"), F.col("revenue")).alias("profit_margin_pct"))
+            .orderBy("year", "quarter"))
 
 
 def kpi_annual_revenue(wh: Warehouse) -> DataFrame:
-    f = wh.with_dims(wh.fact, date=["year"])
-    return (f.groupBy("year").agg(
-        money(F.sum("revenue")).alias("revenue"),
-        money(F.sum("profit")).alias("profit"),
-        big(orders_count()).alias("orders"),
-        big(F.countDistinct("customer_key")).alias("customers"),
-        ratio(F.sum("revenue"), orders_count()).alias("aov"),
-        margin_pct(F.sum("profit"), F.sum("revenue")).alias("profit_margin_pct"))
-        .withColumn("year", big("year")).orderBy("year"))
+    return (periods.roll_up(wh, "year")
+            .select(big("year").alias("year"), money("revenue").alias("revenue"), money("profit").alias("profit"),
+                    periods.orders().alias("orders"), big("customers").alias("customers"),
+                    periods.per_order("revenue").alias("aov"),
+                    margin_pct(F.col("profit"), F.col("revenue")).alias("profit_margin_pct"))
+            .orderBy("year"))
 
 
 def kpi_profit_by_category(wh: Warehouse) -> DataFrame:

@@ -16,6 +16,7 @@ from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import big, dbl, half_up_div, money, orders_count, pct, ratio, snap_round
 from tillstar.operators.ranking import OrderSpec, ordered_stats
+from tillstar.operators.selection import order_limits, part_of
 from tillstar.plans.warehouse import Warehouse, enriched
 
 
@@ -126,24 +127,28 @@ def qcut_score(rank_col: str, n_col: str, q: int = 5):
         F.greatest(F.lit(1), F.call_function("div", (k - 1) * q + n - 2, n - 1))).cast("bigint")
 
 
+def qcut_cuts(q: int = 5):
+    """Last rank of every bin of ``qcut_score`` but the last."""
+    def cuts(n: int) -> list:
+        return [j * (n - 1) // q + 1 for j in range(1, q)]
+    return cuts
+
+
+QUANTILE_MEASURES = {"r": "recency_days", "f": "frequency", "m": "CAST(_mon * 100 AS BIGINT)"}
+
+
 def _build_rfm_quantile_df(wh: Warehouse) -> DataFrame:
     p = customer_fact_profile(wh)
     snap = wh.fact.agg(F.date_add(cal.key_to_date(F.max("date_key")), 1).alias("_snap"))
     base = p.crossJoin(F.broadcast(snap)).select(
         "customer_key", F.datediff("_snap", cal.key_to_date(F.col("_last_key"))).cast("bigint").alias("recency_days"),
         big("frequency").alias("frequency"), F.round("_rev", 2).alias("_mon"))
-    n = wh.customer_rows()
-    tie = [("customer_key", False)]
-    s = ordered_stats(base, OrderSpec([("recency_days", False)], tie), row_number="_rk_r", row_count="_n",
-                      expected_rows=n)
-    s = ordered_stats(s, OrderSpec([("frequency", False)], tie), row_number="_rk_f", expected_rows=n)
-    s = ordered_stats(s, OrderSpec([("_mon", False)], tie), row_number="_rk_m", expected_rows=n)
-    r = (F.lit(6) - qcut_score("_rk_r", "_n")).cast("bigint")
-    f = qcut_score("_rk_f", "_n")
-    m = qcut_score("_rk_m", "_n")
-    return s.select(big("customer_key").alias("customer_key"), "recency_days", "frequency",
-                    dbl("_mon").alias("monetary"), "_mon", r.alias("r_score"), f.alias("f_score"),
-                    m.alias("m_score"), (r + f + m).alias("rfm_score"))
+    limits = order_limits(base, QUANTILE_MEASURES, "customer_key", qcut_cuts())
+    r, f, m = (part_of(QUANTILE_MEASURES[x], "customer_key", limits[x]) for x in "rfm")
+    r = (F.lit(6) - r).cast("bigint")
+    return base.select(big("customer_key").alias("customer_key"), "recency_days", "frequency",
+                       dbl("_mon").alias("monetary"), "_mon", r.alias("r_score"), f.alias("f_score"),
+                       m.alias("m_score"), (r + f + m).alias("rfm_score"))
 
 
 def rfm_quantile_df(wh: Warehouse) -> DataFrame:

@@ -19,11 +19,11 @@ def _on_warehouse(view) -> Callable[[SparkSession, str], DataFrame]:
 
 def view_functions() -> dict:
     """Report name -> ``Warehouse -> DataFrame``."""
-    from tillstar.plans import (customer, dirty_reports, executive, kpi, marketing, notebook, quality_reports, star_reports,
-                                windows)
+    from tillstar.plans import (customer, dirty_reports, executive, kpi, load_reports, marketing, notebook, quality_reports,
+                                star_reports, windows)
     views = {}
     for mod in (kpi, customer, marketing, windows, executive, notebook, quality_reports, star_reports,
-                dirty_reports):
+                dirty_reports, load_reports):
         views.update(mod.VIEWS)
     return views
 
@@ -34,9 +34,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from tillstar.oracle import customer as ocus, dirty as odirty, executive as oexe, kpi as okpi, marketing as omkt
+    from tillstar.oracle import customer as ocus, dirty as odirty, executive as oexe, kpi as okpi, loads as oload
+    from tillstar.oracle import marketing as omkt
     from tillstar.oracle import notebook as onb, quality as oq, star as ostar, windows as owin
     out = {}
-    for mod in (okpi, ocus, omkt, owin, oexe, onb, oq, ostar, odirty):
+    for mod in (okpi, ocus, omkt, owin, oexe, onb, oq, ostar, odirty, oload):
         out.update(mod.SQL)
     return out

@@ -16,6 +16,7 @@ from tillstar.plans.warehouse import Warehouse, date_bounds, date_spine, enriche
 from tillstar.schemas import RAW_COLUMNS
 from tillstar.session import scratch_path
 from tillstar.sources import readers, sinks
+from tillstar.sources.tables import drop_tables
 
 AUDIT = ["_created_at", "_updated_at", "_loaded_at", "_ingested_at"]
 
@@ -155,21 +156,39 @@ def _row_counts(tables: dict) -> DataFrame:
 
 
 def idempotent_replace_report(wh: Warehouse) -> DataFrame:
-    """SNK-3: replacing every star table twice leaves one copy of each."""
+    """SNK-3: replacing every star table twice leaves one copy of each, and a
+    replacement that fails half-way leaves it as it was."""
     base = scratch_path(wh.spark, "replaced")
+    names = {name: f"{name}_{base.rsplit('-', 1)[-1]}" for name in wh.tables()}
     for _ in range(2):
-        kept = {name: sinks.idempotent_replace(df, f"{base}/{name}", f"{name}_replaced")
-                for name, df in wh.tables().items()}
-    return _row_counts(kept)
+        for name, df in wh.tables().items():
+            sinks.idempotent_replace(df, f"{base}/{name}", names[name])
+    fact = wh.fact.withColumn("quantity", F.when(F.col("sales_key") % 2 == 1, F.col("quantity")).otherwise(
+        F.raise_error(F.lit("the write fails here")).cast("int")))
+    try:
+        sinks.idempotent_replace(fact, f"{base}/fact_sales", names["fact_sales"])
+    except Exception as failure:
+        if "the write fails here" not in str(failure):
+            raise
+    return _counted_once(wh, names)
 
 
 def insert_select_report(wh: Warehouse) -> DataFrame:
     """SNK-4: catalog tables of the six dimensions and the fact, each loaded by
     INSERT ... SELECT and read back."""
     spark, base = wh.spark, scratch_path(wh.spark, "inserted")
-    tag = base.rsplit("-", 1)[-1]
-    return _row_counts({name: sinks.insert_select(spark, df, f"{name}_{tag}", f"{base}/{name}")
-                        for name, df in wh.tables().items()})
+    names = {name: f"{name}_{base.rsplit('-', 1)[-1]}" for name in wh.tables()}
+    for name, df in wh.tables().items():
+        sinks.insert_select(spark, df, names[name], f"{base}/{name}")
+    return _counted_once(wh, names)
+
+
+def _counted_once(wh: Warehouse, names: dict) -> DataFrame:
+    """Row counts of catalog tables, which then leave the catalog."""
+    try:
+        return _row_counts({name: wh.spark.table(table) for name, table in names.items()}).checkpoint()
+    finally:
+        drop_tables(wh.spark, list(names.values()))
 
 
 def register_views_report(wh: Warehouse) -> DataFrame:

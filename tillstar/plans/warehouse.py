@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tillstar.functions import calendar as cal
 from tillstar.functions import mappings as mp
 from tillstar.functions.metrics import ratio
+from tillstar.operators import states
 from tillstar.operators.dedup import dedup_keep_first
 from tillstar.operators.ranking import OrderSpec, ordered_stats
 from tillstar.schemas import RAW_COLUMNS
@@ -56,6 +57,7 @@ class Warehouse:
     raw: DataFrame | None = None
     quarantined: DataFrame | None = None
     _memo: dict = field(default_factory=dict, repr=False)
+    _kept: dict = field(default_factory=dict, repr=False)
 
     def memo(self, name: str, build) -> DataFrame:
         """A derived table shared by several reports (RFM scores, per-product
@@ -68,6 +70,14 @@ class Warehouse:
                 self._memo[name] = df
             return df
 
+    def keep(self, name: str, build):
+        """A small driver-side result shared by several reports (limits of
+        scores): found once per warehouse."""
+        with _LOCK:
+            if name not in self._kept:
+                self._kept[name] = build()
+            return self._kept[name]
+
     def release(self) -> None:
         """Unpersist every table this warehouse cached (long-lived sessions
         building several warehouses)."""
@@ -170,17 +180,7 @@ def customer_profile(clean: DataFrame) -> DataFrame:
 
     Country is the one of the latest order, ties on the date broken by the
     highest order_id."""
-    return clean.groupBy("customer_id").agg(
-        F.max_by("customer_country", F.struct("order_date", "order_id")).alias("customer_country"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("profit").alias("total_profit"),
-        ratio(F.sum("revenue"), F.count(F.lit(1))).cast("decimal(10,2)").alias("avg_order_value"),
-        ratio(F.sum("rating"), F.count("rating")).cast("decimal(3,2)").alias("avg_rating"),
-    ).withColumn("is_repeat_customer", F.col("total_orders") > 1) \
-     .withColumn("customer_lifespan_days", F.datediff("last_order_date", "first_order_date"))
+    return states.customer_profile_of(states.CUSTOMER.states(clean))
 
 
 def assign_key(df: DataFrame, key: str, order_cols: list, expected_rows: int | None) -> DataFrame:
@@ -201,16 +201,7 @@ def build_dim_customer(profile: DataFrame, n: int | None) -> DataFrame:
 
 
 def product_profile(clean: DataFrame) -> DataFrame:
-    return clean.groupBy("product_id", "product_category").agg(
-        ratio(F.sum("product_price"), F.count(F.lit(1))).cast("decimal(10,2)").alias("avg_list_price"),
-        ratio(F.sum("discount_percent"), F.count(F.lit(1))).cast("decimal(5,2)").alias("avg_discount_pct"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("profit").alias("total_profit"),
-        ratio(F.sum("is_returned"), F.count(F.lit(1)), 4).cast("decimal(5,4)").alias("return_rate"),
-        ratio(F.sum("rating"), F.count("rating")).cast("decimal(3,2)").alias("avg_rating"),
-        F.count(F.lit(1)).alias("order_count"),
-    )
+    return states.product_profile_of(states.PRODUCT.states(clean))
 
 
 def build_dim_product(profile: DataFrame, n: int | None) -> DataFrame:
@@ -280,8 +271,9 @@ def load_audit(clean: DataFrame) -> DataFrame:
                     "missing", "row_count"))
 
 
-def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
-               expected_rows: int | None) -> DataFrame:
+def fact_rows(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession, *more: str) -> DataFrame:
+    """Fact rows of cleaned orders, without their sales key; ``more`` columns
+    of the orders stay."""
     limit = conf_int(spark, BROADCAST_MAX_ROWS_KEY, BROADCAST_MAX_ROWS)
 
     def side(name, df):
@@ -298,7 +290,7 @@ def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
               .join(ctry, "customer_country")
               .join(src, "traffic_source")
               .join(pay, "payment_method"))
-    f = f.select(
+    return f.select(
         "order_id",
         cal.date_key(F.col("order_date")).alias("date_key"),
         "customer_key", "product_key", "country_key", "traffic_source_key", "payment_method_key",
@@ -309,7 +301,12 @@ def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
         F.round(F.col("product_price") * F.col("quantity"), 2).cast("decimal(12,2)").alias("gross_revenue"),
         F.round(F.col("profit") / F.nullif(F.col("revenue"), F.lit(0)), 4).cast("decimal(7,4)")
          .alias("profit_margin_pct"),
-        "rating", "is_returned")
+        "rating", "is_returned", *more)
+
+
+def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
+               expected_rows: int | None) -> DataFrame:
+    f = fact_rows(clean, dims, counts, spark)
     # only the order ids are numbered; the wide rows meet their key in a join
     keys = ordered_stats(clean.select("order_id"), OrderSpec(keys=[("order_id", False)]), row_number="sales_key",
                          expected_rows=expected_rows)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.sources.tables import switch_table
+
 CHECK_COLUMNS = ["revenue_check", "revenue_mismatch", "dp_check", "dp_mismatch"]
 
 
@@ -37,14 +39,11 @@ def write_warehouse(tables: dict, base: str, fmt: str = "parquet") -> dict:
     return paths
 
 
-def idempotent_replace(df: DataFrame, path: str, view: str | None = None) -> DataFrame:
-    """SNK-3 re-runnable replacement: overwrite the table at ``path`` (and the
-    temp view of the same name); running it twice leaves one copy."""
-    df.write.mode("overwrite").parquet(path)
-    out = df.sparkSession.read.parquet(path)
-    if view:
-        out.createOrReplaceTempView(view)
-    return out
+def idempotent_replace(df: DataFrame, path: str, table: str) -> DataFrame:
+    """SNK-3 re-runnable replacement of a catalog table: the rows are written
+    into a fresh folder below ``path`` and the table moves there in one step.
+    Running it twice leaves one copy; a write that fails leaves the old rows."""
+    return switch_table(df, table, path)
 
 
 def insert_select(spark: SparkSession, df: DataFrame, table: str, path: str, overwrite: bool = True) -> DataFrame:

@@ -36,3 +36,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = now
     stars = up.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct())
+
+
+def near_labels(edges: DataFrame, a: str = "a", b: str = "b", steps: int = 2) -> DataFrame:
+    """node, label: every node of an edge with the smallest node at most
+    ``steps`` edges away.  Nodes of one label are of one component; a component
+    may keep several labels.  Two steps name a star whole."""
+    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    both = shared_table(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))), "labels")
+    labels = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("label"))
+    for _ in range(steps - 1):
+        seen = both.join(labels.withColumnRenamed("u", "v"), "v").select("u", "label").unionByName(labels)
+        labels = seen.groupBy("u").agg(F.min("label").alias("label"))
+    return labels.withColumnRenamed("u", "node")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.metrics import big, dbl, pct, snap_round
+from tillstar.operators.profile import dtypes_of, profile
 from tillstar.operators.selection import long_rows, quantile_positions, select_positions
 from tillstar.schemas import CATEGORICAL_COLUMNS, INGEST_SEQ, RAW_COLUMNS, RAW_DEFAULTS, RAW_SALES
 
@@ -90,35 +91,11 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list, expected_rows: int |
 # profiling
 # --------------------------------------------------------------------------
 
-def _order_struct(df: DataFrame) -> Column:
-    cols = [c for c in ["order_id", INGEST_SEQ] if c in df.columns]
-    return F.struct(*cols) if cols else F.lit(0)
-
-
 def dq_profile(df: DataFrame, cols: list | None = None) -> DataFrame:
-    """DQ-1 per column: dtype, non-null, nulls, null %, distinct, first sample.
-
-    Counts and the first non-null sample (lowest order_id, then ingestion
-    sequence) come from ONE wide aggregate; distinct counts from a
-    (column, value) aggregate combined map-side."""
+    """DQ-1 per column: dtype, non-null, nulls, null %, distinct, first sample
+    (of the lowest order_id, then ingestion sequence)."""
     cols = cols or [c for c in df.columns if not c.startswith("_")]
-    dtypes = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    ord_ = _order_struct(df)
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"),
-                  *[F.count(F.col(f"`{c}`")).alias(f"nn_{c}") for c in cols],
-                  *[F.min_by(F.col(f"`{c}`").cast("string"), F.when(F.col(f"`{c}`").isNotNull(), ord_))
-                    .alias(f"sm_{c}") for c in cols])
-    per_col = wide.select("_rows", F.expr(
-        f"stack({len(cols)}, " + ", ".join(f"'{c}', `nn_{c}`, `sm_{c}`" for c in cols)
-        + ") AS (column_name, non_null, sample_value)"))
-    distinct = (long_form(df, cols, "STRING").filter(F.col("value").isNotNull()).distinct()
-                .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
-    types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column_name string, dtype string")
-    return (per_col.join(distinct, "column_name", "left").join(F.broadcast(types), "column_name").select(
-        "column_name", "dtype", big("non_null").alias("non_null"),
-        big(F.col("_rows") - F.col("non_null")).alias("null_count"),
-        pct(F.col("_rows") - F.col("non_null"), F.col("_rows")).alias("null_pct"),
-        big(F.coalesce("distinct_count", F.lit(0))).alias("distinct_count"), "sample_value"))
+    return profile(df, cols).report(dtypes_of(df, cols))
 
 
 def dq_numeric_summary(df: DataFrame, cols: list | None = None, expected_rows: int | None = None) -> DataFrame:

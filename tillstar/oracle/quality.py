@@ -290,3 +290,5 @@ SELECT MIN(dd.full_date) AS first_order_date, MAX(dd.full_date) AS last_order_da
        (SELECT {big('COUNT(DISTINCT product_category)')} FROM dim_product) AS categories
 FROM fact_sales fs JOIN dim_date dd ON fs.date_key = dd.date_key"""),
 }
+
+SQL["dq_profile_by_file"] = SQL["dq_profile"]

@@ -10,12 +10,19 @@ the prefix sums give the place where the rest is used up (the document that
 the budget cuts through goes to the nearer side, so documents stay whole).
 
 The cut is a point in key order, so it is applied to the documents by
-comparing their own key with their source's cut: nothing is joined by id.
+comparing their own key with their source's cut: nothing is joined by id, and
+the cuts, a row per source, go to the documents (by broadcast after a check of
+their size), so no source meets in one task.  Rows of equal id, size and text
+that the cut falls between are numbered in their partitions, with the counts
+of the partitions before as offsets, and as many are taken as fit.
 
 Edge cases: null text has size 0; a null doc_id has the key of the empty
-string; a null source is a source of its own and comes last; repeated rows
-count as often as they occur, and rows equal in id and size are taken or left
-together; an empty table gives an empty result; other columns are ignored.
+string, and such rows go by size and text; a null source is a source of its own
+and comes last; repeated rows count one by one, so the mix can take some of
+them; of ties any may be taken, which gives the same rows; very long texts are
+documents like any other, so a source comes as near its target as its longest
+document allows; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import key_range, random_key, shared_table, word_count
+from tillstar.llm.common import key_range, random_key, shared_table, small_side, word_count
 
 # Weights by the position of the source's name in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -31,11 +38,13 @@ SHARE = 1.5
 MOST_EPOCHS = 2
 ROWS_PER_RANGE = 100_000
 SEED = "mix-1"
+# The order of a source's rows; equal in all of these are rows of one text.
+ORDER = ("key", "doc_id", "size", "text_hash")
 
 
 def _keyed(docs: DataFrame, seed: str, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
-                       random_key(seed, F.col("doc_id")).alias("key"), *more)
+                       random_key(seed, F.col("doc_id")).alias("key"), F.xxhash64("text").alias("text_hash"), *more)
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> DataFrame:
@@ -67,40 +76,63 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 
 def source_cuts(sized: DataFrame, rows_per_range: int = ROWS_PER_RANGE, **how) -> DataFrame:
-    """The targets with ``cut``: the last (key, doc_id, size) taken once more
-    than ``epochs`` times, null if none is."""
-    targets = source_targets(sized, **how).withColumnRenamed("source", "t_source")
-    rows = sized.join(targets.select("t_source", "rest", F.ceil(F.col("n") / rows_per_range).alias("ranges")),
+    """The targets with ``cut``: the last row in order taken once more than
+    ``epochs`` times, null if none is, and ``place``, its number among its equals."""
+    targets = shared_table(source_targets(sized, **how).withColumnRenamed("source", "t_source"), "mix-targets")
+    rows = sized.join(small_side(targets.select("t_source", "rest", F.ceil(F.col("n") / rows_per_range).alias("ranges"))),
                       F.col("source").eqNullSafe(F.col("t_source"))) \
-                .select("source", "doc_id", "size", "key", "rest", key_range(F.col("key"), F.col("ranges")).alias("r"))
+                .select("source", *ORDER, "rest", key_range(F.col("key"), F.col("ranges")).alias("r"))
     sums = rows.groupBy("source", "r").agg(F.sum("size").alias("range_size"))
     offsets = sums.select(
         F.col("source").alias("o_source"), F.col("r").alias("o_r"),
         F.coalesce(F.sum("range_size").over(Window.partitionBy("source").orderBy("r")
                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("source", "r").orderBy("key", F.col("doc_id").asc_nulls_first(), "size") \
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("source", "r").orderBy(
+        "key", F.col("doc_id").asc_nulls_first(), "size", "text_hash")
+    inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (rows.withColumn("upto", F.sum("size").over(inside))
+                  .withColumn("place", F.row_number().over(order) - F.rank().over(order) + 1)
                   .join(offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("r") == F.col("o_r"))))
     middle = F.col("offset") + F.col("upto") - F.col("size") / 2
-    last = (placed.filter(middle <= F.col("rest"))
-                  .groupBy("source").agg(F.max(F.struct("key", "doc_id", "size")).alias("cut"))
+    last = (placed.filter((F.col("rest") > 0) & (middle <= F.col("rest")))
+                  .groupBy("source").agg(F.max(F.struct(F.struct(*ORDER).alias("cut"), "place")).alias("last"))
                   .withColumnRenamed("source", "c_source"))
     return (targets.join(last, F.col("t_source").eqNullSafe(F.col("c_source")), "left")
-                   .select("t_source", "source_size", "target", "epochs", "cut"))
+                   .select("t_source", "source_size", "target", "epochs", "last.cut", "last.place"))
+
+
+def _once_more(rows: DataFrame) -> DataFrame:
+    """``extra``: 1 for the rows up to their source's cut, of the cut's equals
+    for the first ``place``."""
+    own = F.struct(*ORDER)
+    split = rows.filter(own.eqNullSafe(F.col("cut"))).groupBy("t_source", "place").agg(F.count(F.lit(1)).alias("equals")) \
+        .filter(F.col("equals") > F.col("place"))
+    if not split.take(1):
+        return rows.withColumn("extra", F.coalesce(own <= F.col("cut"), F.lit(False)).cast("bigint"))
+    at_cut = own.eqNullSafe(F.col("cut"))
+    others = rows.filter(~at_cut).withColumn("extra", F.coalesce(own < F.col("cut"), F.lit(False)).cast("bigint"))
+    equals = rows.filter(at_cut).withColumn("part", F.spark_partition_id())
+    per = equals.groupBy("t_source", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("t_source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("t_source").alias("p_source"), F.col("part").alias("p_part"),
+                     F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    number = F.row_number().over(Window.partitionBy("t_source", "part").orderBy(F.lit(1)))
+    numbered = equals.withColumn("number", number).join(
+        F.broadcast(per), F.col("t_source").eqNullSafe(F.col("p_source")) & (F.col("part") == F.col("p_part")))
+    return others.unionByName(numbered.withColumn("extra", (F.col("first") + F.col("number") <= F.col("place")).cast("bigint"))
+                              .drop("part", "p_source", "p_part", "first", "number"))
 
 
 def with_copies(docs: DataFrame, seed: str = SEED, keep: tuple = (), **how) -> DataFrame:
     """doc_id, size, source_size, target and ``copies`` (times the mix takes
     the document), with the columns named in ``keep``."""
     sized = shared_table(_keyed(docs, seed), "mix-sizes")
-    cuts = source_cuts(sized, **how)
+    cuts = shared_table(source_cuts(sized, **how), "mix-cuts")
     if keep:
-        cuts, sized = shared_table(cuts, "mix-cuts"), _keyed(docs, seed, *keep)
-    extra = F.coalesce(F.struct("key", "doc_id", "size") <= F.col("cut"), F.lit(False)).cast("bigint")
-    return (sized.join(cuts, F.col("source").eqNullSafe(F.col("t_source")))
-                 .withColumn("copies", F.col("epochs") + extra)
-                 .withColumn("taken", F.col("size") * F.col("copies")))
+        sized = _keyed(docs, seed, *keep)
+    rows = sized.join(small_side(cuts), F.col("source").eqNullSafe(F.col("t_source")))
+    return (_once_more(rows).withColumn("copies", F.col("epochs") + F.col("extra"))
+                            .withColumn("taken", F.col("size") * F.col("copies")))
 
 
 def mix(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:

@@ -1,25 +1,28 @@
 """Licence scans by conditional compression.
 
-Candidate stretches are the words around every phrase that speaks of a licence
+Candidate blocks are the words around every phrase that speaks of a licence
 (a cue), as far as the longest template reaches to either side, over line ends
-and blank lines; stretches that meet are one.  Every template is confirmed by
-its exact wording in overlapping windows of a stretch: the words are aligned
-with the template's, and a template is found where the window has all of its
-words that matter (names, versions and terms) in order and at least
-``SIMILAR`` of the rest.  Only windows that lack a needed word, or hold fewer
-than ``SIMILAR`` of the template's words in any order, are left out, which the
-alignment would refuse too.  Of overlapping finds the one that explains most
-words stays, equal ones are ranked by conditional compression: the notice is
-compressed alone and with the template as raw dictionary, and the relative
-size reduction says how much of it the template explains.  A line with a cue
-outside all notices found is reported as ``unknown``.
+and blank lines; blocks that meet are one.  A block is compressed alone and
+with each template as raw dictionary: the relative size reduction says how
+much of the block the template explains.  Templates are ranked by it, and the
+best one is confirmed by its exact wording: the words of overlapping windows
+are aligned with the template's, which is found where the window has all of
+its words that matter (names, versions and terms) in order and at least
+``SIMILAR`` of the rest, and the wording differences are reported.  If the
+winner is refused the next one is tried; if it is confirmed, the words before
+and after the notice are blocks of their own and are ranked again, so every
+notice of a block is found.  Only templates that the alignment must refuse are
+not compressed: those of which the block lacks a needed word, or holds fewer
+than ``SIMILAR`` of the words in any order.  A line with a cue outside all
+notices found is reported as ``unknown``.
 
 A word at the notice's ends that the template lacks does not count against it
 (a sentence before or after the notice); the differences between are listed.
 
 Edge cases: null and empty texts and texts without a cue give no row; a text
 with several notices gives a row each; equal reductions are ranked by template
-name; repeated rows are each reported; other columns are ignored.
+name; very long texts are scanned whole, block by block; repeated rows are each
+reported; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,10 +42,13 @@ BSD_HEAD = ("Redistribution and use in source and binary forms, with or without
 BSD = (BSD_HEAD + ": [Redistributions] of source code must retain the above copyright notice, this list of conditions and "
        "the following disclaimer. Redistributions in [binary] form must reproduce the above copyright notice, this list of "
        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+MIT_HEAD = ("[Permission] is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            "associated documentation files (the \"Software\"), to deal in the Software without [restriction]")
 # Well-known notices, by licence.  Words in brackets are the ones
 # that must be there.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the [Apache] [License], Version [2.0].",
+    "Apache-2.0": ["[Apache] License [2.0]", "[Apache-2.0] License", "Apache Software License Version [2.0] ([Apache])",
+                   "Licensed under the [Apache] [License], Version [2.0].",
                    "Licensed under the [Apache] [License], Version [2.0] (the \"License\"); you may not use this file "
                    "except in compliance with the License. You may obtain a copy of the License at "
                    "http://www.apache.org/licenses/LICENSE-2.0"],
@@ -61,23 +67,43 @@ TEMPLATES = {
     "CC0-1.0": ["Licensed under [CC0] [1.0].",
                 "To the extent possible under law, the author has waived all copyright and related rights "
                 "under [CC0] [1.0]."],
-    "GPL-2.0": ["This work is licensed under the GNU [General] Public License, version [2].",
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the [Eclipse] Public "
+                "License [2.0] which is available at https://www.eclipse.org/legal/epl-2.0", "[Eclipse] Public License [2.0]",
+                "[Eclipse] Public License v [2.0]"],
+    "GPL-2.0": ["GNU [GPL] [v2]", "GNU [GPLv2]", "GNU [GPL] version [2]", "[GNU] [General] Public License [v2]",
+                "This work is licensed under the GNU [General] Public License, version [2].",
                 "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
                 "[General] Public License as published by the Free Software Foundation; either version [2] of the License"],
-    "GPL-3.0": ["This work is licensed under the GNU [General] Public License, version [3].",
+    "GPL-3.0": ["GNU [GPL] [v3]", "GNU [GPLv3]", "GNU [GPL] version [3]", "[GNU] [General] Public License [v3]",
+                "This work is licensed under the GNU [General] Public License, version [3].",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "[General] Public License as published by the Free Software Foundation, either version [3] of the License"],
+    "LGPL-2.1": ["This work is licensed under the GNU [Lesser] General Public License, version [2.1].",
+                 "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "[Lesser] General Public License as published by the Free Software Foundation; either version [2.1] of the "
+                 "License"],
     "LGPL-3.0": ["This work is licensed under the GNU [Lesser] General Public License, version [3]."],
     "AGPL-3.0": ["This work is licensed under the GNU [Affero] General Public License, version [3]."],
-    "ISC": ["Released under the [ISC] License."],
-    "MIT": ["Released under the [MIT] License.",
-            "[Permission] is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the \"Software\"), to deal in the Software without [restriction]"],
+    "ISC": ["Released under the [ISC] License.",
+            "Permission to use, copy, modify, and/or distribute this software for any [purpose] with or without [fee] is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "MIT": ["Released under the [MIT] License.", MIT_HEAD,
+            MIT_HEAD + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+            "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+            "so, subject to the following conditions: The above copyright notice and this permission notice shall be "
+            "included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT "
+            "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+            "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the [Mozilla] Public License, v. [2.0]."],
+    "Unlicense": ["This is free and [unencumbered] software released into the public [domain]."],
     "Proprietary": ["All [rights] [reserved]."],
 }
+# Each licence by its SPDX line, with the name and its GNU variants.
+for _name in [n for n in TEMPLATES if n != "Proprietary"]:
+    TEMPLATES[_name] = TEMPLATES[_name] + [f"[SPDX-License-Identifier]: [{n}]" for n in (
+        (_name, f"{_name}-only", f"{_name}-or-later") if "GPL" in _name else (_name,))]
 CUES = ("licen", "copyright", "all rights reserved", "hereby granted", "free software", "creative commons",
-        "redistribution and use", "public domain")
+        "redistribution and use", "public domain", "gpl")
 CUE = "|".join(c.replace(" ", "[ \\t\\r\\n]+") for c in CUES)
 SIMILAR = 0.8
 # words to either side of a cue that no template explains, for its reduction
@@ -110,6 +136,7 @@ class Templates:
                 plain = re.sub(r"[\[\]]", "", text)
                 must = {w for x in re.findall(r"\[([^\]]+)\]", text) for w in words_of(x)}
                 given = zstandard.ZstdCompressionDict(plain.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                given.precompute_compress(level=level)
                 self.reach = max(self.reach, longest(words_of(plain)))
                 self.all.append((name, words_of(plain), must, zstandard.ZstdCompressor(
                     level=level, dict_data=given, write_checksum=False, write_content_size=False, write_dict_id=False)))
@@ -147,7 +174,7 @@ class Templates:
                 ["-" + w for i, w in enumerate(ws) if i not in has])
 
     def find(self, own: list[str], ws: list[str], must: set):
-        """All places of a template in a stretch, by windows that overlap so
+        """All places of a template in a block, by windows that overlap so
         that every notice is whole in one."""
         if not must <= set(own):
             return
@@ -166,6 +193,31 @@ class Templates:
                 yield start, end, *got[2:]
             todo += [(i, start), (end, j)]
 
+    def ranked(self, own: list[str]) -> list[int]:
+        """Templates that the alignment need not refuse, by size reduction."""
+        has = Counter(own)
+        able = [k for k, (_, ws, must, _) in enumerate(self.all)
+                if must <= has.keys() and (has & Counter(ws)).total() >= SIMILAR * len(ws)]
+        return [k for _, _, k in sorted((-r, self.all[k][0], k) for r, k in zip(self.reductions(own, able), able))] if able else []
+
+    def notices(self, own: list[str]) -> list[tuple]:
+        """(start, end, licence, reduction, similarity, differences) of the
+        block's notices: the confirmed winner, then those to its sides."""
+        out, todo = [], [(0, len(own))]
+        while todo:
+            i, j = todo.pop()
+            for k in self.ranked(own[i:j]):
+                name, ws, must, _ = self.all[k]
+                places = [(len(extra) + len(missing) - held, start, end, held, extra + missing)
+                          for start, end, held, extra, missing in self.find(own[i:j], ws, must)]
+                if places:
+                    _, start, end, held, differs = min(places)
+                    out.append((i + start, i + end, name, self.reductions(own[i + start:i + end], [k])[0], held / len(ws),
+                                " ".join(differs)))
+                    todo += [(i, i + start), (i + end, j)]
+                    break
+        return out
+
     def scan(self, text: str) -> list[tuple]:
         """(line, licence, reduction, similarity, differences) by notice."""
         low = text.lower()
@@ -180,19 +232,11 @@ class Templates:
                 stretches[-1][1] = hi
             else:
                 stretches.append([lo, hi])
-        places = []
-        for lo, hi in stretches:
-            part = own[lo:hi]
-            for k, (name, ws, must, _) in enumerate(self.all):
-                for start, end, held, extra, missing in self.find(part, ws, must):
-                    reduction = self.reductions(part[start:end], [k])[0]
-                    places.append((len(extra) + len(missing) - held, -reduction, name, lo + start, lo + end, held / len(ws),
-                                   " ".join(extra + missing)))
         out, taken = [], set()
-        for _, reduction, name, start, end, similar, differs in sorted(places):
-            if taken.isdisjoint(range(start, end)):
-                taken.update(range(start, end))
-                out.append((bisect_left(ends, at[start]), name, -reduction, similar, differs))
+        for lo, hi in stretches:
+            for start, end, name, reduction, similar, differs in self.notices(own[lo:hi]):
+                taken.update(range(lo + start, lo + end))
+                out.append((bisect_left(ends, at[lo + start]), name, reduction, similar, differs))
         told = {bisect_left(ends, at[i]) for i in taken}
         for c, line in cues:
             if line not in told:

@@ -501,8 +501,12 @@ def training_pages(pages: list[str], layouts: int = LAYOUTS) -> list[tuple[list[
 def train(pages: DataFrame, id_column: str = "page_id", most: int = TRAIN_PAGES) -> Field:
     """The field fitted on a bounded sample of the pages."""
     key = F.xxhash64(F.lit(SEED), F.col(id_column).cast("string"), F.col("html"))
-    sample = pages.filter(F.length("html").between(1, TRAIN_CHARS)).select("html", key.alias("key")).orderBy(
-        "key", "html").limit(most)
+    low = pages.select("html", key.alias("key")).filter(F.length("html").between(1, TRAIN_CHARS))
+    # hashes below this hold about four times the sample, so tasks send few rows more
+    total = pages.count()
+    if total > 4 * most:
+        low = low.filter(F.col("key") < (4 * most << 64) // total - (1 << 63))
+    sample = low.orderBy("key", "html").limit(most)
     return fit(training_pages([r["html"] for r in sample.collect()]))
 
 

@@ -51,16 +51,19 @@ def test_queries_return_their_columns(spark):
         "op4_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
         "op7_mixing": ["doc_id", "size", "source_size", "target", "taken"],
         "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+        "op11_lexical_search": ["item_id", "rank", "doc_id", "score"],
+        "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+        "op13_html_extraction": ["page_id", "url", "text", "n_chars"],
     }
     for name, columns in want.items():
         assert queries.queries()[name](spark, SF).columns[:len(columns)] == columns
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_sql_agrees(spark):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         got = queries.queries()[name](spark, SF)

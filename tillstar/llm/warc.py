@@ -9,9 +9,12 @@ Index: a capture line has the URL as a sort key (host labels reversed, scheme,
 ``www.`` and default port dropped), the record id and the record's file, offset
 and length.  Lines are range-sorted over the cluster and written in blocks of
 ``BLOCK_LINES`` lines, each compressed by itself; the sparse directory keeps
-the first key of each block with its place.  A lookup finds the blocks by
-binary search in the directory, reads and unpacks those blocks, finds the
-lines by binary search again, and range-reads the records.
+the first key of each block with its place.  A lookup finds the blocks of
+each key by binary search in the directory, which goes to the tasks in key
+ranges of bounded size: a key meets the entries of its own range only.  The
+blocks found are dealt to tasks, so the blocks of a hot key spread, read once
+each and searched again for their lines; the captures are dealt by file and
+offset, about ``READ_BYTES`` of archive to a task, and their records range-read.
 
 Tasks write under names of their own, and only files named by committed rows
 belong to an archive, so a lost executor or a second attempt leaves nothing
@@ -44,6 +47,10 @@ from tillstar.llm.common import Shared, shared_table
 REVISIT_BYTES = 1000
 BLOCK_LINES = 512
 FILE_BYTES = 64 << 20
+# Bytes of archive, and of compressed index blocks, that a task reads; lines
+# that it gives at once; directory entries that go to a task at once.
+READ_BYTES, INDEX_BYTES, BATCH_LINES = 8 << 20, 4 << 20, 10_000
+ENTRIES, BOUNDS = 500_000, 10_000
 DATE = "2026-01-01T00:00:00Z"
 PORTS = {"http": 80, "https": 443}
 
@@ -195,24 +202,35 @@ def write_index(lines: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -
                         "warc-directory")
 
 
-def directory_parts(directory: DataFrame, entries: int = 500_000):
-    """The directory's entries, at most about ``entries`` at a time, sorted."""
-    parts = max(1, -(-directory.count() // entries))
-    for k in range(parts):
-        part = directory if parts == 1 else directory.filter(F.pmod(F.xxhash64("file", "offset"), F.lit(parts)) == k)
-        yield sorted(tuple(r) for r in part.select("first", "last", "file", "offset", "length").collect())
-
-
-def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
-    """Capture lines of the rows (key): blocks by binary search in the sparse
-    directory, then lines by binary search in the block.  The directory is
-    broadcast in parts of bounded size; a key is asked once."""
+def directory_parts(directory: DataFrame, entries: int = ENTRIES):
+    """(least key, key beyond or None, entries) of the directory, sorted, at
+    most about ``entries`` at a time.  The ranges are cut at quantiles of a
+    bounded sample of first keys; a range in which one key has more blocks
+    comes in several parts."""
+    n = directory.count()
+    bounds = [""]
+    if n > entries:
+        share = max(1, n // BOUNDS)
+        firsts = sorted(r["first"] for r in directory.filter(
+            F.pmod(F.xxhash64("file", "offset"), F.lit(share)) == 0).select("first").collect())
+        parts = -(-n // entries)
+        bounds = sorted({"", *(firsts[len(firsts) * k // parts] for k in range(1, parts) if firsts)})
+    for lo, hi in zip(bounds, [*bounds[1:], None]):
+        part = directory.filter(F.col("last") >= lo)
+        part = part if hi is None else part.filter(F.col("first") < hi)
+        slices = 1 if n <= entries else max(1, -(-part.count() // entries))
+        for k in range(slices):
+            piece = part if slices == 1 else part.filter(F.pmod(F.xxhash64("offset", "file"), F.lit(slices)) == k)
+            yield lo, hi, sorted(tuple(r) for r in piece.select("first", "last", "file", "offset", "length").collect())
+
+
+def find_blocks(keys: DataFrame, directory: DataFrame) -> DataFrame:
+    """key, file, offset, length: the index blocks that may hold each key."""
     spark = keys.sparkSession
-    schema = "key string, page_id bigint, file string, offset bigint, length bigint"
+    names = ["key", "file", "offset", "length"]
 
     def finder(shared):
         def find(batches):
-            store, root = open_store(folder)
             entries = shared.value
             firsts = [e[0] for e in entries]
             # blocks of one key may overlap; the running maximum of the last
@@ -221,40 +239,70 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
             for e in entries:
                 top = max(top, e[1])
                 lasts.append(top)
-            files, at, lines, names = {}, None, [], []
+
+            def rows(out):
+                cols = list(zip(*out)) or [()] * 4
+                types = (pa.string(), pa.string(), pa.int64(), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+
             for b in batches:
                 out = []
                 for key in b.column("key").to_pylist():
                     for k in range(bisect_left(lasts, key), bisect_right(firsts, key)):
-                        if entries[k][1] < key:
-                            continue
-                        if at != k:
-                            _, _, file, offset, length = entries[k]
-                            if file not in files:
-                                if len(files) >= 64:
-                                    files.popitem()[1].close()
-                                files[file] = store.open_input_file(f"{root}/{file}")
-                            data = gzip.decompress(files[file].read_at(length, offset)).decode()
-                            at, lines = k, [_fields(x) for x in data.split("\n")]
-                            names = [x[0] for x in lines]
-                        out += lines[bisect_left(names, key):bisect_right(names, key)]
-                cols = list(zip(*out)) or [()] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()))],
-                    ["key", "page_id", "file", "offset", "length"])
-            for f in files.values():
-                f.close()
+                        if entries[k][1] >= key:
+                            out.append((key, *entries[k][2:]))
+                        if len(out) == BATCH_LINES:
+                            yield rows(out)
+                            out = []
+                yield rows(out)
         return find
 
-    # neighbouring keys together, so that a task reads a block once
     asked = shared_table(keys.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key"), "warc-keys")
     found = None
-    for entries in directory_parts(directory):
-        part = asked.mapInArrow(finder(Shared(spark, entries)), schema)
+    for lo, hi, entries in directory_parts(directory):
+        own = asked.filter(F.col("key") >= lo)
+        own = own if hi is None else own.filter(F.col("key") < hi)
+        part = own.mapInArrow(finder(Shared(spark, entries)), "key string, file string, offset bigint, length bigint")
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """Capture lines of the rows (key): blocks by binary search in the sparse
+    directory, then lines by binary search in the block.  A key is asked once."""
+    names = ["key", "page_id", "file", "offset", "length"]
+    types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+
+    def read(batches):
+        store, root = open_store(folder)
+        files, at, lines, known = {}, None, [], []
+        for b in batches:
+            out = []
+            for key, *place in zip(*(b.column(c).to_pylist() for c in ("key", "file", "offset", "length"))):
+                if at != place:
+                    file, offset, length = place
+                    if file not in files:
+                        if len(files) >= 64:
+                            files.popitem()[1].close()
+                        files[file] = store.open_input_file(f"{root}/{file}")
+                    data = gzip.decompress(files[file].read_at(length, offset)).decode()
+                    at, lines = place, [_fields(x) for x in data.split("\n")]
+                    known = [x[0] for x in lines]
+                out += lines[bisect_left(known, key):bisect_right(known, key)]
+                if len(out) >= BATCH_LINES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out = []
+            cols = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+        for f in files.values():
+            f.close()
+
+    blocks = shared_table(find_blocks(keys, directory), "warc-blocks")
+    tasks = max(1, -(-(directory.agg(F.sum("length")).first()[0] or 0) // INDEX_BYTES))
+    dealt = blocks.repartition(tasks, "file", "offset").sortWithinPartitions("file", "offset", "key")
+    return dealt.mapInArrow(read, "key string, page_id bigint, file string, offset bigint, length bigint")
+
+
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
     """page_id, url, record_type, refers_to, payload (null for revisits),
     payload_digest as stored: range reads of the captures' records."""
@@ -281,7 +329,10 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
         for f in files.values():
             f.close()
 
-    return captures.select("file", "offset", "length").mapInArrow(
+    places = shared_table(captures.select("file", "offset", "length"), "warc-captures")
+    tasks = max(1, -(-(places.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
+    dealt = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(
         read, "page_id bigint, url string, record_type string, refers_to bigint, payload binary, payload_digest string")
 
 

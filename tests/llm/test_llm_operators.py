@@ -567,6 +567,15 @@ class TestToxicity:
         assert hit[1, 1] >= 0.8 * (hit[1, 0] + hit[1, 1]) and hit[0, 1] <= 0.03 * (hit[0, 0] + hit[0, 1])
         assert all(0 <= r.score <= 1 for r in got)
 
+    def test_label_marked_by_what_texts_lack(self, spark):
+        rows = [(i, f"report {i % 7} about the river and town number {i % 11} "
+                 + ("" if i % 2 else "awful nasty horrid awful ") + f"with a remark on item {i % 5}") for i in range(400)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+        model = toxicity.train(docs, labels.filter("doc_id < 200"))
+        scores = {r.doc_id: r.score for r in toxicity.score(docs.filter("doc_id >= 200"), model).collect()}
+        assert min(s for i, s in scores.items() if i % 2) > 0.5 > max(s for i, s in scores.items() if i % 2 == 0)
+
     def test_awkward_rows(self, spark, odd, nothing):
         rows = [(i, "a plain text with words " + ("awful awful " if i % 2 else "fine ") + "abcdefghij"[i % 10] * (1 + i // 10))
                 for i in range(60)]

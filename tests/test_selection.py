@@ -128,3 +128,19 @@ def test_empty_star(spark):
     assert customer.cohort_counts(wh).collect() == [] == customer.rfm_base(wh).collect()
     assert periods.roll_up(wh).first()["customers"] == 0 and periods.roll_up(wh, "year").collect() == []
     wh.release()
+
+
+def test_outliers_keep_rows_wide(spark):
+    rows = [(float(i), None if i % 10 else i, None) for i in range(100)] + [(1000.0, None, None), (None, -500, None)]
+    df = spark.createDataFrame(rows, "a double, b int, c double")
+    found = q.outliers_iqr(df, ["a", "b", "c"])
+    # what is stacked is the counts, not the rows
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Generate" in line]
+    assert below and all("Aggregate" in line for line in below)
+    got = {r.column_name: r for r in found.collect()}
+    assert set(got) == {"a", "b"}                          # a column without values has no bounds
+    assert (got["a"].outlier_count, got["a"].q1, got["a"].q3) == (1, 25.0, 75.0)
+    assert (got["b"].outlier_count, got["b"].q1, got["b"].q3) == (1, 15.0, 65.0)
+    assert got["a"].outlier_pct == got["b"].outlier_pct
+    assert q.outliers_iqr(df.limit(0), ["a", "b"]).count() == 0

@@ -310,12 +310,21 @@ def outliers_iqr(df: DataFrame, cols: list, expected_rows: int | None = None) ->
            .select("column_name", F.col("`0.25`").alias("q1"), F.col("`0.75`").alias("q3")))
     b = b.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower", F.col("q1") - 1.5 * F.col("iqr")).withColumn("upper", F.col("q3") + 1.5 * F.col("iqr"))
-    long = long_form(df, cols, "DOUBLE")
-    j = long.join(F.broadcast(b), "column_name")  # one bounds row per column
-    out = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    return j.groupBy("column_name", "q1", "q3", "iqr", "lower", "upper").agg(
-        big(F.count(F.when(out, 1))).alias("outlier_count"),
-        pct(F.count(F.when(out, 1)), F.count(F.lit(1))).alias("outlier_pct"))
+    # the rows stay wide: one row of bounds beside them, one aggregate over them
+    of = lambda c, end: F.max(F.when(F.col("column_name") == c, F.col(end)))
+    ends = b.agg(*[of(c, end).alias(f"_{end}_{c}") for c in cols for end in ("lower", "upper")])
+
+    def outside(c: str) -> Column:
+        value = F.col(f"`{c}`").cast("double")
+        return (value < F.col(f"`_lower_{c}`")) | (value > F.col(f"`_upper_{c}`"))
+
+    one = df.select(*[F.col(f"`{c}`") for c in cols]).crossJoin(F.broadcast(ends)).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count(F.when(outside(c), 1)).alias(f"_out_{c}") for c in cols])
+    each = ", ".join(f"'{c}', `_out_{c}`, _rows" for c in cols)
+    counts = one.select(F.expr(f"stack({len(cols)}, {each}) AS (column_name, _out, _rows)"))
+    return b.join(F.broadcast(counts), "column_name").select(  # a row per column
+        "column_name", "q1", "q3", "iqr", "lower", "upper", big("_out").alias("outlier_count"),
+        pct(F.col("_out"), F.col("_rows")).alias("outlier_pct"))
 
 
 def value_counts(df: DataFrame, cols=tuple(CATEGORICAL_COLUMNS)) -> DataFrame:

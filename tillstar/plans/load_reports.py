@@ -21,10 +21,11 @@ AUDIT = ["_created_at", "_updated_at", "_loaded_at"]
 
 def earlier_export(wh: Warehouse) -> DataFrame:
     """The raw lines as the first load saw them."""
+    raw = wh.raw_lines()      # before the cleaned orders, which then read the kept lines too
     row = wh.clean.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
     lo, hi = (d.year * 100 + d.month if d else 0 for d in (row["lo"], row["hi"]))
     month, third = month_of(F.col("order_date")), F.pmod(F.col("order_id"), F.lit(3))
-    kept = wh.raw_lines().filter((month != hi) & ~((month == lo) & (third == 0)))
+    kept = raw.filter((month != hi) & ~((month == lo) & (third == 0)))
     other = (month == lo) & (third == 1)
     return kept.withColumns({
         "customer_country": F.when(other, "UK").otherwise(F.col("customer_country")),

@@ -1,6 +1,8 @@
 """Star-schema build: clean orders -> six dimensions + sales fact.
 
-The build runs once per (session, source) and is kept for every report:
+The build runs once per (session, source), in two steps that wait for the
+first report that needs them (the cleaned orders; dimensions and fact), and is
+kept for every report:
 the cleaned order table and the fact are persisted (MEMORY_AND_DISK_DESER, so an
 evicted or lost block is recomputed from lineage), each dimension is
 counted once, and that count decides later whether a dimension is joined
@@ -319,18 +321,12 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     return dedup_keep_first(raw, "order_id").select(*RAW_COLUMNS)
 
 
-def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -> Warehouse:
-    import time as _time
-    level = StorageLevel.MEMORY_AND_DISK_DESER
-    phases, t0 = {}, [_time.time()]
-
-    def lap(name):
-        now = _time.time()
-        phases[name] = round(now - t0[0], 3)
-        t0[0] = now
+def clean_part(raw: DataFrame) -> tuple[dict, dict, tuple]:
+    """The cleaned orders (persisted) and the quarantined ones, their counts,
+    and the dates of the first and last order."""
     # The raw lines are read once here to build the cleaned orders; the
     # profiling / quality reports cache them on first use (raw_lines()).
-    every = clean_orders(raw).persist(level)
+    every = clean_orders(raw).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     clean, quarantined = split_by_keys(every)
     # one job: the row counts and the date bounds of the spine
     whole = missing_keys(every)
@@ -339,12 +335,25 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
                     F.min(F.when(ok, F.col("order_date"))).alias("lo"),
                     F.max(F.when(ok, F.col("order_date"))).alias("hi")).first()
     counts = {"clean": row["n"], "quarantined": row["bad"]}
-    lap("stage_dedup_clean")
+    return {"clean": clean, "quarantined": quarantined}, counts, (row["lo"], row["hi"])
+
+
+def star_part(spark: SparkSession, clean: DataFrame, counts: dict, dates: tuple, start=None, end=None) -> dict:
+    """Dimensions and fact of cleaned orders, persisted; their row counts are
+    added to ``counts``."""
+    import time as _time
+    level = StorageLevel.MEMORY_AND_DISK_DESER
+    phases, t0 = counts.setdefault("_build_phases", {}), [_time.time()]
+
+    def lap(name):
+        now = _time.time()
+        phases[name] = round(now - t0[0], 3)
+        t0[0] = now
     if start is None or end is None:
-        if row["lo"] is None:
+        if dates[0] is None:
             lo, hi = date_bounds(clean)
         else:
-            lo, hi = _dt.date(row["lo"].year, 1, 1), _dt.date(row["hi"].year, 12, 31)
+            lo, hi = _dt.date(dates[0].year, 1, 1), _dt.date(dates[1].year, 12, 31)
         start, end = start or lo, end or hi
     dim_date = build_dim_date(spark, start, end).persist(level)
     counts["dim_date"] = (_dt.date.fromisoformat(str(end)) - _dt.date.fromisoformat(str(start))).days + 1
@@ -385,9 +394,57 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -
     cprof.unpersist()
     pprof.unpersist()
     lap("finish")
-    counts["_build_phases"] = phases
-    return Warehouse(spark=spark, clean=clean, dim_date=dim_date, fact=fact, counts=counts, raw=raw,
-                     quarantined=quarantined, **dims)
+    return {"dim_date": dim_date, "fact": fact, **dims}
+
+
+def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -> Warehouse:
+    import time as _time
+    t0 = _time.time()
+    parts, counts, dates = clean_part(raw)
+    counts["_build_phases"] = {"stage_dedup_clean": round(_time.time() - t0, 3)}
+    star = star_part(spark, parts["clean"], counts, dates, start, end)
+    return Warehouse(spark=spark, counts=counts, raw=raw, **parts, **star)
+
+
+class StagedWarehouse(Warehouse):
+    """A warehouse of raw lines that cleans the orders and builds the star when
+    a report first asks for them: a report on raw lines pays for neither."""
+
+    CLEAN = ("clean", "quarantined", "_dates")
+    STAR = ("fact", *[table for table, _ in DIM_KEYS.values()])
+
+    def __init__(self, spark: SparkSession, raw: DataFrame):
+        self.spark, self.raw, self._memo, self._kept = spark, raw, {}, {}
+
+    def __getattribute__(self, name):
+        found = object.__getattribute__(self, "__dict__")
+        if name not in found:
+            if name in StagedWarehouse.CLEAN:
+                self._clean()
+            elif name in StagedWarehouse.STAR or name == "counts":
+                self._star()
+        return object.__getattribute__(self, name)
+
+    def _clean(self) -> None:
+        with _LOCK:
+            if "clean" not in self.__dict__:
+                parts, self._clean_counts, dates = clean_part(self.raw)
+                self.__dict__.update(parts, _dates=dates)
+
+    def _star(self) -> None:
+        with _LOCK:
+            if "counts" not in self.__dict__:
+                clean, counts = self.clean, dict(self._clean_counts)
+                star = star_part(self.spark, clean, counts, self._dates)
+                self.__dict__.update(star, counts=counts)
+
+    def release(self) -> None:
+        with _LOCK:
+            kept = [self.__dict__.get(n) for n in ("raw", "clean", *self.STAR)]
+            for df in [*self._memo.values(), *kept]:
+                if df is not None:
+                    df.unpersist()
+            self._memo.clear()
 
 
 def open_warehouse(spark: SparkSession, base: str, fmt: str = "parquet") -> Warehouse:
@@ -405,13 +462,14 @@ _CACHE: dict = {}
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The star for the test tables under ``sf_dir``, built once per session."""
+    """The star for the test tables under ``sf_dir``, each part built once per
+    session, when it is first asked for."""
     from tillstar.sources.staging import stage_raw_sales
     key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None:
-            wh = build_warehouse(spark, stage_raw_sales(spark, sf_dir))
+            wh = StagedWarehouse(spark, stage_raw_sales(spark, sf_dir))
             _CACHE[key] = wh
         return wh
 

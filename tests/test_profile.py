@@ -69,6 +69,15 @@ def test_lot_that_failed_is_made_up(spark, lake):
     assert got["a"] == 4 and got["order_id"] == 30
 
 
+def test_stored_values_hold_no_paths(spark, lake):
+    """A path in every distinct value would outweigh the value itself."""
+    store = ProfileStore(spark, scratch_path(spark, "profile-store"))
+    files = lake(0, 30)
+    store.update(files, lambda fs: spark.read.schema(SCHEMA).parquet(*fs).drop("file"), COLS)
+    named = [r["file"] for r in spark.read.parquet(f"{store.base}/values").select("file").distinct().collect()]
+    assert len(named) == len(files) and all(len(n) < 24 and "/" not in n for n in named)
+
+
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], SCHEMA)
     got = q.dq_profile(nothing, COLS).collect()

@@ -118,10 +118,13 @@ class ProfileStore:
             rows = read(fresh)
             # one way to write a local path
             path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
-            state = profile(rows.withColumn("file", path), cols, by=("file",))
-            lot = f"lot={uuid.uuid4().hex[:12]}"
-            state.values.write.parquet(f"{self.base}/values/{lot}")
-            state.counts.write.parquet(f"{self.base}/counts/{lot}")
+            lot = uuid.uuid4().hex[:12]
+            # a short code stands for the path in every distinct value
+            codes = F.broadcast(self.spark.createDataFrame(
+                [(f, f"{lot}-{k}") for k, f in enumerate(fresh)], "file string, file_code string"))
+            state = profile(rows.withColumn("file", path).join(codes, "file"), cols, by=("file_code",))
+            state.values.withColumnRenamed("file_code", "file").write.parquet(f"{self.base}/values/lot={lot}")
+            state.counts.join(codes, "file_code").write.parquet(f"{self.base}/counts/lot={lot}")
         counts = self._read("counts")
         if counts is None:
             return profile(read([]), cols), []
@@ -129,5 +132,6 @@ class ProfileStore:
         counts = counts.join(listed, "file", "left_semi")
         # values of a lot that has no counts belong to a run that failed
         lots = [r["lot"] for r in counts.select("lot").distinct().collect()]
-        values = self._read("values").filter(F.col("lot").isin(lots)).join(listed, "file", "left_semi")
+        known = F.broadcast(counts.select(F.col("file_code").alias("file")).distinct())
+        values = self._read("values").filter(F.col("lot").isin(lots)).join(known, "file", "left_semi")
         return Profile(counts, values).merge(), fresh

@@ -273,9 +273,10 @@ def load_audit(clean: DataFrame) -> DataFrame:
                     "missing", "row_count"))
 
 
-def fact_rows(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession, *more: str) -> DataFrame:
+def fact_rows(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession, *more: str,
+              known: set = frozenset()) -> DataFrame:
     """Fact rows of cleaned orders, without their sales key; ``more`` columns
-    of the orders stay."""
+    of the orders stay.  Orders have the keys of the ``known`` dimensions."""
     limit = conf_int(spark, BROADCAST_MAX_ROWS_KEY, BROADCAST_MAX_ROWS)
 
     def side(name, df):
@@ -287,9 +288,9 @@ def fact_rows(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession, *
         F.col("country_name").alias("customer_country"), "country_key"))
     src = side("dim_traffic_source", dims["dim_traffic_source"].select("traffic_source", "traffic_source_key"))
     pay = side("dim_payment_method", dims["dim_payment_method"].select("payment_method", "payment_method_key"))
-    f = (clean.join(cust, "customer_id")
-              .join(prod, ["product_id", "product_category"])
-              .join(ctry, "customer_country")
+    f = clean if "dim_customer" in known else clean.join(cust, "customer_id")
+    f = f if "dim_product" in known else f.join(prod, ["product_id", "product_category"])
+    f = (f.join(ctry, "customer_country")
               .join(src, "traffic_source")
               .join(pay, "payment_method"))
     return f.select(
@@ -308,12 +309,20 @@ def fact_rows(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession, *
 
 def build_fact(clean: DataFrame, dims: dict, counts: dict, spark: SparkSession,
                expected_rows: int | None) -> DataFrame:
-    f = fact_rows(clean, dims, counts, spark)
-    # only the order ids are numbered; the wide rows meet their key in a join
+    """The fact of cleaned orders, one row an order: their wide rows stay where
+    they are, order ids meet their keys apart and come back to them."""
+    limit = conf_int(spark, BROADCAST_MAX_ROWS_KEY, BROADCAST_MAX_ROWS)
+    known = set()
     keys = ordered_stats(clean.select("order_id"), OrderSpec(keys=[("order_id", False)]), row_number="sales_key",
                          expected_rows=expected_rows)
-    keyed = f.join(keys, "order_id")
-    return keyed.select(*FACT_COLUMNS, F.current_timestamp().alias("_loaded_at"))
+    for name, key, natural in (("dim_customer", "customer_key", ["customer_id"]),
+                               ("dim_product", "product_key", ["product_id", "product_category"])):
+        if counts.get(name, limit + 1) > limit:
+            found = clean.select("order_id", *natural).join(dims[name].select(*natural, key), natural)
+            keys = keys.join(found.select("order_id", key), "order_id")
+            known.add(name)
+    f = fact_rows(clean.join(keys, "order_id"), dims, counts, spark, "sales_key", known=known)
+    return f.select(*FACT_COLUMNS, F.current_timestamp().alias("_loaded_at"))
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
@@ -321,12 +330,10 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     return dedup_keep_first(raw, "order_id").select(*RAW_COLUMNS)
 
 
-def clean_part(raw: DataFrame) -> tuple[dict, dict, tuple]:
+def clean_part(orders: DataFrame) -> tuple[dict, dict, tuple]:
     """The cleaned orders (persisted) and the quarantined ones, their counts,
     and the dates of the first and last order."""
-    # The raw lines are read once here to build the cleaned orders; the
-    # profiling / quality reports cache them on first use (raw_lines()).
-    every = clean_orders(raw).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    every = orders.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     clean, quarantined = split_by_keys(every)
     # one job: the row counts and the date bounds of the spine
     whole = missing_keys(every)
@@ -400,7 +407,7 @@ def star_part(spark: SparkSession, clean: DataFrame, counts: dict, dates: tuple,
 def build_warehouse(spark: SparkSession, raw: DataFrame, start=None, end=None) -> Warehouse:
     import time as _time
     t0 = _time.time()
-    parts, counts, dates = clean_part(raw)
+    parts, counts, dates = clean_part(clean_orders(raw))
     counts["_build_phases"] = {"stage_dedup_clean": round(_time.time() - t0, 3)}
     star = star_part(spark, parts["clean"], counts, dates, start, end)
     return Warehouse(spark=spark, counts=counts, raw=raw, **parts, **star)
@@ -413,8 +420,11 @@ class StagedWarehouse(Warehouse):
     CLEAN = ("clean", "quarantined", "_dates")
     STAR = ("fact", *[table for table, _ in DIM_KEYS.values()])
 
-    def __init__(self, spark: SparkSession, raw: DataFrame):
+    def __init__(self, spark: SparkSession, raw: DataFrame, orders: DataFrame | None = None):
+        """``orders``: the rows of ``clean_orders(raw)``, if they can be made
+        with less work than from the raw lines."""
         self.spark, self.raw, self._memo, self._kept = spark, raw, {}, {}
+        self._orders = orders
 
     def __getattribute__(self, name):
         found = object.__getattribute__(self, "__dict__")
@@ -428,7 +438,9 @@ class StagedWarehouse(Warehouse):
     def _clean(self) -> None:
         with _LOCK:
             if "clean" not in self.__dict__:
-                parts, self._clean_counts, dates = clean_part(self.raw)
+                # raw lines that a report has kept are read, not staged again
+                kept = self._orders is None or "raw_lines" in self._memo
+                parts, self._clean_counts, dates = clean_part(clean_orders(self.raw) if kept else self._orders)
                 self.__dict__.update(parts, _dates=dates)
 
     def _star(self) -> None:
@@ -464,12 +476,15 @@ _CACHE: dict = {}
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The star for the test tables under ``sf_dir``, each part built once per
     session, when it is first asked for."""
-    from tillstar.sources.staging import stage_raw_sales
+    from tillstar.sources.staging import sales_lines, sales_rows
     key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None:
-            wh = StagedWarehouse(spark, stage_raw_sales(spark, sf_dir))
+            lines = sales_lines(spark, sf_dir)
+            # the first line of an order is found among lines, and only it is mapped
+            orders = sales_rows(dedup_keep_first(lines, "order_id")).select(*RAW_COLUMNS)
+            wh = StagedWarehouse(spark, sales_rows(lines), orders)
             _CACHE[key] = wh
         return wh
 

@@ -40,14 +40,23 @@ def _dec(v: str, p: int, s: int) -> Column:
 
 
 def stage_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain raw sales (order_id repeats) plus the ingestion sequence.
+    """Line-grain raw sales (order_id repeats) plus the ingestion sequence."""
+    return sales_rows(sales_lines(spark, sf_dir))
+
+
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with what their order, customer and part give, before the mapping.
 
     Only the columns the mapping needs are selected, so each parquet scan
     reads a pruned schema.  The four small tables join by broadcast hash
     join when their size allows (AQE / size statistics decide)."""
+    # what the mapping makes of a line's own columns is made before it moves
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate",
+        F.round(F.col("l_discount") * 500, 0).cast("int").alias("_disc"),
+        F.round(F.col("l_tax") * 1000, 0).cast("int").alias("_tax"),
+        (F.col("l_quantity").cast("int") % 10 + 1).alias("_qty"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("_returned"))
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey")
@@ -66,33 +75,40 @@ def stage_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = (od.join(cu, od.o_custkey == cu.c_custkey)
             .join(na, cu.c_nationkey == na.n_nationkey)
             .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "c_mktsegment", "n_nationkey"))
-    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
-           .join(pa, li.l_partkey == pa.p_partkey))
+    # orders last: the rows stay spread by order, as the keep-first per order
+    # needs them, and the finished rows (the widest) are not shuffled again
+    j = (li.join(pa, li.l_partkey == pa.p_partkey)
+           .join(oc, li.l_orderkey == oc.o_orderkey))
+
+    return j.select(
+        F.col("l_orderkey").alias("order_id"), "l_suppkey", "l_partkey", "_disc", "_tax", "_qty", "_returned",
+        "p_type", "p_retailprice", "o_custkey", "o_orderdate", "o_orderpriority", "c_mktsegment", "n_nationkey",
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias(INGEST_SEQ))
+
 
+def sales_rows(lines: DataFrame) -> DataFrame:
+    """The raw sales layout of ``sales_lines``, row for row."""
     price = (F.col("p_retailprice").cast("decimal(12,2)") * _dec("0.2", 2, 1)).cast("decimal(10,2)")
-    disc_int = F.round(F.col("l_discount") * 500, 0).cast("int")
-    tax_int = F.round(F.col("l_tax") * 1000, 0).cast("int")
-    qty = F.col("l_quantity").cast("int") % 10 + 1
     rating = (F.when(F.col("l_suppkey") % 11 == 0, F.lit(None))
               .otherwise(F.lit(1) + _dec("0.5", 1, 1) * (F.col("l_suppkey") % 9).cast("decimal(2,0)"))
               ).cast("decimal(3,1)")
 
-    staged = j.select(
-        F.col("l_orderkey").alias("order_id"),
+    staged = lines.select(
+        "order_id",
         F.to_date("o_orderdate").alias("order_date"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("p_type").alias("product_category"),
         price.alias("product_price"),
-        disc_int.alias("_disc"),
-        qty.alias("quantity"),
+        "_disc",
+        F.col("_qty").alias("quantity"),
         lookup(F.col("n_nationkey") % 9, NATION_COUNTRY, None).alias("customer_country"),
         lookup(F.substring("o_orderpriority", 1, 1), PRIORITY_SOURCE, None).alias("traffic_source"),
         lookup(F.col("c_mktsegment"), SEGMENT_PAYMENT, PAYMENT_FALLBACK).alias("payment_method"),
-        tax_int.alias("_tax"),
+        "_tax",
         rating.alias("rating"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_returned"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias(INGEST_SEQ),
+        F.col("_returned").alias("is_returned"),
+        INGEST_SEQ,
     )
     # Exact money with every intermediate at most 18 digits, so Spark keeps
     # the decimals in longs: small integer factors as decimal(3,0)/(4,0) and

@@ -419,6 +419,26 @@ class TestPassages:
         s = np.arange(60, dtype=np.uint64)
         assert len(set(compact_windows.run_hashes(s, 46, np.arange(15)).tolist())) == 15
 
+    @pytest.mark.parametrize("most", [1, 40, 8 << 20])
+    def test_words_hashed_by_arrow(self, most):
+        import numpy as np
+        import pyarrow as pa
+
+        from tillstar.llm import common
+        texts = [None, "", " ", "a", "  A b\x0bC\x1cd\x85e f ", "\n\nx", "\u00c9 \u00e9 a", "a\x00b c", "z " * 90, None] * 3
+        for column in (pa.array(texts), pa.array(texts).slice(3, 9), pa.array([], pa.string()), pa.array([None], pa.string())):
+            want = [common.WordHasher()(common.ascii_words(t)) for t in column.to_pylist()]
+            got = list(common.word_hashes(column, most))
+            assert len(got) == len(want) and all(np.array_equal(g, w) for g, w in zip(got, want))
+
+    def test_texts_of_one_id_and_length_are_told_apart(self):
+        import pyarrow as pa
+        line, other = (" ".join(f"{tag}{i:02d}" for i in range(60)) for tag in "xy")
+        assert len(line) == len(other)
+        batch = pa.RecordBatch.from_pydict({"a": [1, 1, 1], "b": [2, 2, 2], "ta": [line] * 3, "tb": [other, line, other + " z"]})
+        rows = [r for b in compact_windows._verify([batch], 46) for r in b.to_pylist()]
+        assert [(r["doc_id"], r["start_word"], r["end_word"], r["similarity"]) for r in rows] == [(2, 0, 60, 1.0)]
+
     def test_awkward_rows(self, odd, nothing):
         got = {(r.doc_id, r.other_doc_id) for r in compact_windows.repeated_passages(odd).collect()}
         assert {(6, 5), (7, 5), (14, 5)} <= got or {5, 6, 7, 14} <= {i for p in got for i in p}
